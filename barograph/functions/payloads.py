@@ -30,13 +30,12 @@ def decode_json(text: Column, layout: T.StructType = ENVELOPE) -> Column:
     return F.from_json(text, layout)
 
 
-def leaf_columns(struct: str, layout: T.StructType) -> dict[str, Column]:
-    """Every leaf of a nested struct column, by its own name."""
+def leaf_columns(layout: T.StructType, path: str = "") -> dict[str, Column]:
+    """Every leaf of a layout that may hold structs, by its own name."""
     leaves: dict[str, Column] = {}
     for part in layout.fields:
-        path = f"{struct}.{part.name}"
         if isinstance(part.dataType, T.StructType):
-            leaves.update(leaf_columns(path, part.dataType))
+            leaves.update(leaf_columns(part.dataType, f"{path}{part.name}."))
         else:
-            leaves[part.name] = F.col(path)
+            leaves[part.name] = F.col(path + part.name)
     return leaves

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The Unicode white-space characters and the four information
-# separators, as a regular-expression class.
-BLANKS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+# The Unicode white-space characters and the four information separators.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 LINE_ENDS = r"\r\n|\r|\n"
 
 
@@ -19,13 +22,11 @@ def characters(text: Column) -> Column:
 def words(text: Column) -> Column:
     """Runs of non-blank characters.
 
-    Splitting at runs of blanks leaves at most one empty part at each end, which
-    does not count. A text without words is one empty part, both first and last.
+    All blanks are made spaces first: splitting at one plain character needs no
+    regular expression, which takes about half as long.
     """
-    parts = F.split(text, BLANKS)
-    first_empty = (F.get(parts, F.lit(0)) == "").cast("int")
-    last_empty = (F.element_at(parts, -1) == "").cast("int")
-    return F.greatest(F.lit(0), F.size(parts) - first_empty - last_empty)
+    spaced = F.translate(text, BLANKS, " " * len(BLANKS))
+    return F.size(F.array_remove(F.split(spaced, " "), ""))
 
 
 def lines(text: Column) -> Column:

@@ -66,7 +66,12 @@ def parse_messages(messages: DataFrame, precision: str = "seconds") -> DataFrame
     """Bus rows as typed measurements, one row per message.
 
     Nothing is dropped: a message that cannot be parsed keeps its text in
-    ``jsonValue`` and has NULL measurements. The JSON is parsed once per row.
+    ``jsonValue`` and has NULL measurements.
+
+    The JSON is unpacked with ``inline``, not with field accesses on a struct
+    column: filters on fields, such as the one a time window puts on its time,
+    stay above it, where otherwise each would be pushed below and parse the JSON
+    of every row again.
     """
     raw = messages.select(
         "topic",
@@ -76,10 +81,10 @@ def parse_messages(messages: DataFrame, precision: str = "seconds") -> DataFrame
         text_of(F.col("key")).alias("messageKey"),
         text_of(F.col("value")).alias("jsonValue"),
     )
-    leaves = leaf_columns("envelope", ENVELOPE)
-    leaves["eventTime"] = event_time(leaves["timestamp"], precision)
+    unpacked = raw.select("*", F.inline(F.array(decode_json(F.col("jsonValue")))))
+    fields = leaf_columns(ENVELOPE)
+    fields["eventTime"] = event_time(fields["timestamp"], precision)
     order = [
         "userId", "deviceId", "walkId", "sensorType", "eventTime", "timeSeconds", "pressureHpa",
     ]
-    decoded = raw.withColumn("envelope", decode_json(F.col("jsonValue")))
-    return decoded.select(*raw.columns, *[leaves[name].alias(name) for name in order])
+    return unpacked.select(*raw.columns, *[fields[name].alias(name) for name in order])
