@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 import sys
@@ -23,6 +24,7 @@ def spark(tmp_path_factory):
         .appName("barograph-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "5000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
@@ -59,8 +61,6 @@ class Bus:
         return str(self.folder)
 
     def send(self, values: list[str | None], key: str = "w1") -> None:
-        import datetime as dt
-
         rows = []
         for value in values:
             body = None if value is None else bytearray(value.encode())

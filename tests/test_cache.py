@@ -1,0 +1,223 @@
+"""Result cache: upsert, latest wins, replays, compaction, reads."""
+
+from __future__ import annotations
+
+import datetime as dt
+from pathlib import Path
+
+import pytest
+from conftest import START, envelope
+from pyspark.sql import functions as F
+
+from barograph.operators.cache import cache_rows, latest_wins
+from barograph.operators.envelopes import parse_messages
+from barograph.operators.filters import complete_rows, has_no_data, in_year, on_day
+from barograph.operators.reports import by_start, day_series, rows_per_day, time_range
+from barograph.operators.windows import window_stats
+from barograph.plans.jobs import CacheJob, report_cache, run_cache_job
+from barograph.schema import CACHE, CACHE_KEY
+from barograph.settings import CacheFilter, Trigger, WindowSpec
+from barograph.sources.messages import replay_batch, replay_stream
+from barograph.streaming.resultcache import ResultCache, connector_upsert
+
+NOW = Trigger()
+T0 = dt.datetime(2026, 5, 31, 10)
+
+
+def rows(spark, *entries):
+    """Cache rows from (walk, seconds after T0, count, mean)."""
+    full = [
+        (walk, "d", "barometer", T0 + dt.timedelta(seconds=s), T0 + dt.timedelta(seconds=s + 10),
+         n, mean, mean, mean, None, T0)
+        for walk, s, n, mean in entries
+    ]
+    return spark.createDataFrame(full, CACHE)
+
+
+def shown(frame):
+    cells = frame.select(
+        "walk_id", F.unix_seconds("window_start").alias("s"), "measurement_count",
+        "avg_pressure_hpa",
+    ).collect()
+    first = min((c.s for c in cells), default=0)
+    return sorted((c.walk_id, c.s - first, c.measurement_count, c.avg_pressure_hpa) for c in cells)
+
+
+@pytest.fixture
+def cache(spark, tmp_path):
+    return ResultCache(spark, str(tmp_path / "cache"))
+
+
+def test_newest_batch_wins_even_with_null_values(spark, cache):
+    cache.upsert(rows(spark, ("a", 0, 1, 5.0), ("a", 5, 1, 5.0)), 9)
+    cache.upsert(rows(spark, ("a", 0, 2, None), ("b", 5, 1, 7.0)), 10)
+    assert shown(cache.rows()) == [("a", 0, 2, None), ("a", 5, 1, 5.0), ("b", 5, 1, 7.0)]
+    assert cache.rows().columns == CACHE.fieldNames()
+
+
+def test_running_a_batch_again_changes_nothing(spark, cache):
+    for batch_id in (0, 1, 1, 0):
+        cache.upsert(rows(spark, ("a", 0, batch_id + 1, 5.0)), batch_id)
+    assert cache.versions().count() == 2
+    assert shown(cache.rows()) == [("a", 0, 2, 5.0)]
+
+
+def test_empty_batches_write_no_data_file(spark, cache):
+    cache.upsert(rows(spark), 0)
+    folder = Path(cache.changelog) / "batch_id=0"
+    assert folder.exists() and not list(folder.rglob("*.parquet"))
+    assert has_no_data(cache.rows())
+    cache.upsert(rows(spark, ("a", 0, 1, 1.0)), 1)
+    cache.upsert(rows(spark), 2)
+    assert cache.rows().count() == 1
+
+
+def test_no_cache_yet_is_no_rows(spark, cache):
+    assert has_no_data(cache.rows()) and cache.compacted_through() is None
+
+
+@pytest.mark.parametrize("files", [None, 3])
+def test_compaction_keeps_the_view(spark, cache, files):
+    cache.upsert(rows(spark, ("a", 0, 1, 1.0), ("a", 5, 1, 1.0)), 0, files)
+    cache.upsert(rows(spark, ("a", 0, 2, 2.0), ("b", 86400, 1, 9.0)), 1, files)
+    cache.upsert(rows(spark, ("a", 5, 3, 3.0)), 2, files)
+    before = cache.rows()
+    expected = shown(before)
+    cache.compact(1)
+    assert cache.compacted_through() == 1
+    assert cache.versions().count() == 4  # three base rows and one later change
+    assert shown(cache.rows()) == expected
+    cache.compact(1)
+    cache.compact(0)
+    assert cache.compacted_through() == 1
+    cache.upsert(rows(spark, ("b", 86400, 2, 8.0)), 3)
+    cache.compact(3)
+    assert cache.compacted_through() == 3 and cache.versions().count() == 3
+    assert ("b", 86400, 2, 8.0) in shown(cache.rows())
+
+
+def test_an_unfinished_compaction_is_not_read(spark, cache):
+    cache.upsert(rows(spark, ("a", 0, 1, 1.0)), 0)
+    rows(spark, ("z", 0, 9, 9.0)).withColumn("window_date", F.to_date("window_start")).write.parquet(
+        f"{cache.base}/upto=0"
+    )
+    assert shown(cache.rows()) == [("a", 0, 1, 1.0)]
+    cache.compact(0)
+    assert shown(cache.rows()) == [("a", 0, 1, 1.0)]
+
+
+def test_latest_wins_is_one_hash_aggregation_and_lets_filters_through(spark, cache):
+    cache.upsert(rows(spark, ("a", 0, 1, 1.0)), 0)
+    cache.compact(0)
+    cache.upsert(rows(spark, ("a", 0, 2, 1.0)), 1)
+    read = cache.read(CacheFilter("a", "barometer", 2026), "2026-05-31")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "partial_max_by" in plan and "Window" not in plan
+    assert plan.count("EqualTo(walk_id,a)") == 2
+    assert plan.count("EqualTo(sensor_type,barometer)") == 2
+    assert plan.count("window_date#") > 2 and plan.count("= 2026-05-31") >= 2
+    assert "GreaterThanOrEqual(window_start,2026-05-31 00:00:00.0)" in plan
+    assert "device_id" in plan and read.count() == 1
+
+
+def test_a_key_with_very_many_versions(spark):
+    changes = spark.range(0, 60_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("batch_id"),
+        (F.col("id") * 2).alias("v"),
+    )
+    latest = latest_wins(changes, ("k",))
+    assert latest.count() == 40_001
+    assert latest.filter("k = 'hot'").first().v == 59_997 * 2
+
+
+def stats(spark, bus, files=1):
+    return window_stats(parse_messages(replay_stream(spark, bus.path, files)))
+
+
+def test_stream_fills_the_cache_and_a_restart_goes_on(spark, bus, tmp_path, cache):
+    for second in (0, 3, 61):
+        bus.send([envelope(second, 970.0 + second), envelope(second, 1.0, walk="w2")])
+    cache.start(stats(spark, bus), NOW, view="cache_v").awaitTermination()
+    bus.send([envelope(62, 1000.0)])
+    cache.start(stats(spark, bus), NOW, view="cache_v").awaitTermination()
+    batch = cache_rows(window_stats(parse_messages(replay_batch(spark, bus.path))))
+    assert batch.drop("updated_at").exceptAll(cache.rows().drop("updated_at")).isEmpty()
+    assert cache.rows().count() == batch.count() == spark.table("cache_v").count()
+    assert cache.versions().count() > batch.count()
+
+
+def test_a_changelog_needs_its_checkpoint(spark, bus, cache):
+    bus.send([envelope(0)])
+    cache.start(stats(spark, bus), NOW).awaitTermination()
+    Path(cache.checkpoint).rename(Path(cache.checkpoint + "-gone"))
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        cache.start(stats(spark, bus), NOW)
+
+
+def test_reads_filter_and_sort(spark, cache):
+    spread = [("a", s, 1, 1.0) for s in (86400, 5, 0)] + [("b", 0, 1, 1.0)]
+    cache.upsert(rows(spark, *spread, ("a", 86400 * 365, 1, 1.0)), 0)
+    wanted = CacheFilter("a", "barometer", 2026)
+    read = cache.read(wanted)
+    assert [r.window_start for r in read.collect()] == sorted(
+        r.window_start for r in read.collect()
+    )
+    assert read.count() == 3 and "device_id" not in read.columns
+    report = report_cache(cache, wanted, "2026-05-31")
+    assert report.time_range.first().row_count == 3
+    assert [r["count"] for r in report.per_day.collect()] == [2, 1]
+    assert len(report.day_frame()) == 2
+    assert list(report.day_frame().columns) == [
+        "window_start", "avg_pressure_hpa", "min_pressure_hpa", "max_pressure_hpa",
+        "measurement_count",
+    ]
+    with pytest.raises(ValueError):
+        cache.read(wanted, "bad-string")
+
+
+def test_cache_job(spark, bus, tmp_path):
+    bus.send([envelope(0), envelope(1)])
+    job = CacheJob(str(tmp_path / "job"), WindowSpec(), NOW, run_seconds=60)
+    report = run_cache_job(
+        replay_stream(spark, bus.path), job, CacheFilter("w1", "barometer", 2026), "2026-05-28"
+    )
+    assert report.rows.count() == 2 and len(report.day_frame()) == 2
+    assert not spark.streams.active
+
+
+def test_connector_upsert_appends_through_the_connector(spark, tmp_path):
+    write = connector_upsert("parquet", path=str(tmp_path / "store"))
+    write(rows(spark, ("a", 0, 1, 1.0)), 0)
+    write(rows(spark, ("a", 5, 1, 1.0)), 1)
+    assert spark.read.parquet(str(tmp_path / "store")).count() == 2
+
+
+def test_filters_and_reports(spark):
+    frame = rows(
+        spark, ("a", 0, 1, 1.0), ("a", 3600 * 14 - 1, 1, None), ("a", 3600 * 14, 1, float("nan"))
+    )
+    assert on_day(frame, "2026-05-31").count() == 2
+    assert on_day(frame, dt.date(2026, 6, 1)).count() == 1
+    assert in_year(frame, 2026).count() == 3 and in_year(frame, 2025).count() == 0
+    assert complete_rows(frame, "window_start", "avg_pressure_hpa").count() == 1
+    assert day_series(frame, "2026-05-31").count() == 1
+    assert [tuple(r) for r in rows_per_day(frame).collect()] == [
+        (dt.date(2026, 5, 31), 2), (dt.date(2026, 6, 1), 1),
+    ]
+    assert time_range(frame).columns == ["min_window_start", "max_window_start", "row_count"]
+    no_time = frame.withColumn("window_start", F.when(F.col("avg_pressure_hpa") == 1.0, None))
+    assert by_start(no_time.unionByName(frame)).first().window_start is None
+
+
+def test_year_and_day_bounds_reach_the_scan(spark, tmp_path):
+    rows(spark, ("a", 0, 1, 1.0)).write.parquet(str(tmp_path / "t"))
+    frame = on_day(in_year(spark.read.parquet(str(tmp_path / "t")), 2026), "2026-05-31")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(window_start,2026-01-01 00:00:00.0)" in plan
+    assert "LessThan(window_start,2027-01-01 00:00:00.0)" in plan
+    assert "LessThan(window_start,2026-06-01 00:00:00.0)" in plan
+
+
+def test_key_is_the_full_group_key():
+    assert CACHE_KEY == ("walk_id", "device_id", "sensor_type", "window_start", "window_end")

@@ -1,0 +1,49 @@
+"""Every registered query against its SQL on another engine, at the smallest scale."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+DATA = Path(contract.SMALL)
+pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
+
+
+@pytest.fixture(scope="module")
+def engine():
+    connection = duckdb.connect()
+    for table in ("events", "documents"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
+    return connection
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda row: tuple((cell is None, str(cell)) for cell in row))
+
+
+def test_each_query_has_its_sql():
+    assert contract.queries().keys() == contract.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", contract.queries())
+def test_query_equals_its_sql(spark, engine, name):
+    frame = contract.queries()[name](spark, str(DATA))
+    answer = engine.sql(contract.oracle_sql()[name])
+    columns = sorted(frame.columns)
+    assert sorted(answer.columns) == columns
+    places = [answer.columns.index(column) for column in columns]
+    expected = [tuple(row[place] for place in places) for row in answer.fetchall()]
+    got = [tuple(row) for row in frame.select(*[f"`{c}`" for c in columns]).collect()]
+    assert in_order(got) == in_order(expected)
+
+
+def test_entry(spark):
+    frame = contract.entry(spark)
+    assert frame.columns[:2] == ["windowStart", "windowEnd"] and not frame.isEmpty()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
+    assert "Python" not in plan and plan.count("Exchange") == 1 and plan.count("from_json") == 1
