@@ -32,3 +32,21 @@ def words(text: Column) -> Column:
 def lines(text: Column) -> Column:
     """The lines of a text, as an array: ends at LF, CR LF or a lone CR."""
     return F.split(text, LINE_ENDS)
+
+
+def without(text: Column, *marks: str) -> Column:
+    for mark in marks:
+        text = F.replace(text, F.lit(mark), F.lit(""))
+    return text
+
+
+def line_characters(text: Column) -> Column:
+    """Characters of all lines of a text together, which is all but the line ends."""
+    return F.length(without(text, "\n", "\r"))
+
+
+def line_count(text: Column) -> Column:
+    """Number of lines: one more than line ends, where CR LF is one end, not two."""
+    ends = F.length(text) - line_characters(text)
+    pairs = F.shiftright(F.length(text) - F.length(without(text, "\r\n")), 1)
+    return F.lit(1) + ends - pairs

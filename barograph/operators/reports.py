@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barograph.operators.filters import complete_rows, on_day
+from barograph.schema import GROUP_KEYS
 
 
 def time_range(rows: DataFrame, column: str = "window_start") -> DataFrame:
@@ -42,12 +43,15 @@ def newest(
 def band_series(
     stats: DataFrame,
     last_n: int = 100,
-    ties: tuple[str, ...] = (),
     time: str = "windowStart",
     mean: str = "avgPressureHpa",
     others: tuple[str, ...] = ("minPressureHpa", "maxPressureHpa", "measurementCount"),
 ) -> DataFrame:
-    """The last n windows that have a mean, oldest first, for a min-max band chart."""
+    """The last n windows that have a mean, oldest first, for a min-max band chart.
+
+    Key columns, where there are any, order windows of the same start.
+    """
+    ties = tuple(name for name in GROUP_KEYS if name in stats.columns)
     last = newest(complete_rows(stats, time, mean), last_n, time, ties)
     return last.orderBy(time, *ties).select(time, mean, *others)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barograph.functions.text import characters, lines, words
+from barograph.functions.text import characters, line_characters, line_count, lines, words
 
 
 def lines_of(texts: DataFrame, column: str) -> DataFrame:
@@ -13,15 +13,20 @@ def lines_of(texts: DataFrame, column: str) -> DataFrame:
     return texts.select(F.explode(lines(F.col(column))).alias("value"))
 
 
-def measures(line: Column) -> dict[str, Column]:
+def line_measures(line: Column) -> dict[str, Column]:
     return {"chars": characters(line), "words": words(line), "lines": F.lit(1)}
 
 
+def text_measures(text: Column) -> dict[str, Column]:
+    """The sums of the line measures over all lines of one text."""
+    return {"chars": line_characters(text), "words": words(text), "lines": line_count(text)}
+
+
 def line_pairs(text: DataFrame) -> DataFrame:
     """Three ``key, value`` rows per line."""
     pairs = [
         F.struct(F.lit(key).alias("key"), count.cast("bigint").alias("value"))
-        for key, count in measures(F.col("value")).items()
+        for key, count in line_measures(F.col("value")).items()
     ]
     return text.select(F.inline(F.array(*pairs)))
 
@@ -32,12 +37,20 @@ def sum_by_key(pairs: DataFrame) -> DataFrame:
 
 
 def text_totals(text: DataFrame) -> DataFrame:
-    """The same totals as ``sum_by_key(line_pairs(text))``, without tripling the rows.
+    """The same totals as ``sum_by_key(line_pairs(text))``, without tripling the rows."""
+    return side_by_side(text, line_measures(F.col("value")))
+
 
-    The three sums are taken side by side and turned into rows at the end. No
-    lines give no rows.
+def column_totals(texts: DataFrame, column: str) -> DataFrame:
+    """The totals over the lines of texts in a column, without making rows of lines.
+
+    Line ends are blanks, so words can be counted in the whole text.
     """
-    sums = measures(F.col("value"))
-    totals = text.agg(*[F.sum(count).cast("bigint").alias(key) for key, count in sums.items()])
-    pairs = [F.struct(F.lit(key).alias("key"), F.col(key).alias("total")) for key in sums]
+    return side_by_side(texts, text_measures(F.col(column)))
+
+
+def side_by_side(rows: DataFrame, counts: dict[str, Column]) -> DataFrame:
+    """Sum each count, then turn the sums into ``key, total`` rows. No input, no rows."""
+    totals = rows.agg(*[F.sum(count).cast("bigint").alias(key) for key, count in counts.items()])
+    pairs = [F.struct(F.lit(key).alias("key"), F.col(key).alias("total")) for key in counts]
     return totals.filter(F.col("lines").isNotNull()).select(F.inline(F.array(*pairs)))

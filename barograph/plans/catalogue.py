@@ -29,7 +29,13 @@ from barograph.operators.reports import (
     rows_per_day,
     time_range,
 )
-from barograph.operators.textstats import line_pairs, lines_of, sum_by_key, text_totals
+from barograph.operators.textstats import (
+    column_totals,
+    line_pairs,
+    lines_of,
+    sum_by_key,
+    text_totals,
+)
 from barograph.operators.windows import window_stats
 from barograph.schema import BRONZE, layout
 from barograph.session import pin_utc
@@ -274,26 +280,26 @@ def day_band(spark, sf_dir):
 # --- batch: text -------------------------------------------------------------------
 
 
-def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_of(spark.read.parquet(f"{sf_dir}/documents.parquet"), "text")
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 @query
 def line_stats(spark, sf_dir):
-    return text_totals(document_lines(spark, sf_dir))
+    return column_totals(documents(spark, sf_dir), "text")
 
 
 @query
 def line_pair_sums(spark, sf_dir):
     """The map and reduce form of ``line_stats``."""
-    return sum_by_key(line_pairs(document_lines(spark, sf_dir)))
+    return sum_by_key(line_pairs(lines_of(documents(spark, sf_dir), "text")))
 
 
 @query
 def text_file_stats(spark, sf_dir):
     """Document texts written as text files and scanned line by line."""
     folder = fresh_folder(spark, "text")
-    spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").write.text(folder)
+    documents(spark, sf_dir).select("text").write.text(folder)
     return text_totals(text_lines(spark, folder))
 
 

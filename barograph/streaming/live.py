@@ -26,7 +26,8 @@ def start_live_table(
 
     Complete mode: each trigger gives the full table and late rows always count,
     so state is never dropped. The tasks write the table as files and the view
-    turns to them when they are all there; no row passes through the driver.
+    turns to them when they are all there; no row passes through the driver, as
+    all of them would with Spark's memory sink.
     Folders are used in turn: a reader has ``versions - 1`` triggers to finish.
 
     Where the key space keeps growing, use ``ResultCache.start(..., view=name)``.
@@ -61,17 +62,6 @@ def start_live_table(
     return start_stream(spark, writer, checkpoint, trigger, name)
 
 
-def start_memory_table(
-    stats: DataFrame, name: str, checkpoint: str, trigger: Trigger = Trigger(every=5)
-) -> StreamingQuery:
-    """The same table in driver memory: for a console session on one small stream.
-
-    Its size is that of the whole result, so nothing else here uses it.
-    """
-    writer = stats.writeStream.format("memory").outputMode("complete")
-    return start_stream(stats.sparkSession, writer, checkpoint, trigger, name)
-
-
 def poll(
     spark: SparkSession,
     name: str,

@@ -152,6 +152,28 @@ class ResultCache:
         finished = self.spark.range(1).select(F.lit(through).cast("bigint").alias("upto"))
         finished.write.mode("append").json(self.manifest)
 
+    def drop_compacted(self) -> list[int]:
+        """Delete the batch folders that the newest base covers; return their numbers.
+
+        Keeps the listing of the changelog short in a long run. Readers that took
+        the view before the compaction must have finished.
+        """
+        upto = self.compacted_through()
+        if upto is None:
+            return []
+        context = self.spark.sparkContext
+        root = context._jvm.org.apache.hadoop.fs.Path(self.changelog)
+        files = root.getFileSystem(context._jsc.hadoopConfiguration())
+        folders = {
+            int(status.getPath().getName().removeprefix("batch_id=")): status.getPath()
+            for status in files.listStatus(root)
+            if status.getPath().getName().startswith("batch_id=")
+        }
+        covered = sorted(number for number in folders if number <= upto)
+        for number in covered:
+            files.delete(folders[number], True)
+        return covered
+
 
 def connector_upsert(connector: str, **options: str):
     """A per-batch writer for an external keyed store, through its own connector."""

@@ -6,10 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from barograph.session import ROCKSDB, scoped_conf
+from barograph.session import scoped_conf
 from barograph.settings import Trigger
 from barograph.workspace import path_exists
 
+# Window state in RocksDB, and per batch only its changes sent to the checkpoint.
+STATE = {
+    "spark__sql__streaming__stateStore__providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled": "true",
+}
+
 
 def start_stream(
     spark: SparkSession,
@@ -25,7 +33,7 @@ def start_stream(
     writer = writer.option("checkpointLocation", checkpoint).trigger(**trigger.options())
     if name:
         writer = writer.queryName(name)
-    with scoped_conf(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+    with scoped_conf(spark, **STATE):
         return writer.start()
 
 

@@ -96,6 +96,19 @@ def test_compaction_keeps_the_view(spark, cache, files):
     assert ("b", 86400, 2, 8.0) in shown(cache.rows())
 
 
+def test_compacted_batches_can_go(spark, cache):
+    assert cache.drop_compacted() == []
+    for batch_id in range(4):
+        cache.upsert(rows(spark, ("a", 0, batch_id, 1.0), ("b", batch_id, 1, 1.0)), batch_id)
+    expected = shown(cache.rows())
+    cache.compact(2)
+    assert cache.drop_compacted() == [0, 1, 2]
+    assert shown(cache.rows()) == expected
+    cache.compact(3)
+    assert cache.drop_compacted() == [3] and cache.drop_compacted() == []
+    assert shown(cache.rows()) == expected
+
+
 def test_an_unfinished_compaction_is_not_read(spark, cache):
     cache.upsert(rows(spark, ("a", 0, 1, 1.0)), 0)
     rows(spark, ("z", 0, 9, 9.0)).withColumn("window_date", F.to_date("window_start")).write.parquet(

@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from barograph.functions.text import BLANKS
 from barograph.operators.envelopes import parse_messages
 from barograph.operators.reports import first_row
-from barograph.operators.textstats import line_pairs, lines_of, sum_by_key, text_totals
+from barograph.operators.textstats import (
+    column_totals,
+    line_pairs,
+    lines_of,
+    sum_by_key,
+    text_totals,
+)
 from barograph.plans.jobs import count_text, send_sensor_log
 from barograph.sources.files import sensor_log, text_lines
 from barograph.sources.messages import replay_batch
@@ -66,6 +72,15 @@ def test_counts_equal_plain_python(spark, texts):
     }
     assert as_dict(text_totals(frame)) == want
     assert as_dict(sum_by_key(line_pairs(frame))) == want
+    split = text_totals(lines_of(frame, "value"))
+    assert as_dict(column_totals(frame, "value")) == as_dict(split)
+
+
+@pytest.mark.parametrize("text", ["", "\r\r\n\n", "a\r\nb\rc\n", "\n\r\n\r a"])
+def test_line_ends_in_whole_texts(spark, text):
+    frame = spark.createDataFrame([(text,), (None,)], "value string")
+    split = text_totals(lines_of(frame, "value"))
+    assert as_dict(column_totals(frame, "value")) == as_dict(split)
 
 
 def test_lines_of_a_column(spark):

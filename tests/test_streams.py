@@ -11,6 +11,7 @@ from barograph.operators.envelopes import parse_messages
 from barograph.operators.reports import band_series, local_frame, newest
 from barograph.operators.windows import window_stats
 from barograph.plans.jobs import LiveJob, start_live_job
+from barograph.session import health_check, scoped_conf
 from barograph.settings import BusOptions, Trigger
 from barograph.sources.files import bronze_table
 from barograph.sources.messages import (
@@ -21,9 +22,8 @@ from barograph.sources.messages import (
     table_stream,
 )
 from barograph.sources.tables import live_table
-from barograph.session import health_check, scoped_conf
 from barograph.streaming.bronze import publish_messages, start_bronze
-from barograph.streaming.live import poll, start_live_table, start_memory_table
+from barograph.streaming.live import poll, start_live_table
 from barograph.streaming.monitor import (
     query_status,
     run_for,
@@ -116,15 +116,6 @@ def test_live_table_is_there_before_the_first_batch_and_after_a_restart(spark, b
     assert counts(spark.table("live_r")) == {-5: 3, 0: 3}
 
 
-def test_memory_table_has_the_same_rows(spark, bus, tmp_path):
-    fill(bus)
-    query = start_memory_table(
-        stats_stream(spark, bus), "mem_t", str(tmp_path / "checkpoint"), NOW
-    )
-    query.awaitTermination()
-    assert counts(spark.table("mem_t")) == COMPLETE
-
-
 def test_two_queries_of_one_name_are_refused(spark, bus, tmp_path):
     fill(bus, [[0]])
     first = start_live_table(
