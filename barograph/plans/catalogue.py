@@ -53,7 +53,7 @@ USER, DEVICE, TOPIC = "user-1", "device-1", "sensor.events"
 BASE_EPOCH = 1704067200.0  # 2024-01-01T00:00:00Z
 LOG_WALK, LOG_SENSOR = "walk-log", "barometer"
 ONE_WALK, ONE_SENSOR, YEAR, DAY = "8", "error", 2024, "2024-01-15"
-WALK_DAY = "2024-01-10"
+TYPE_WALK, WALK_DAY = "click", "2024-01-10"
 
 SHORT = WindowSpec("10 seconds", "5 seconds")
 LONG = WindowSpec("2 days", "1 day")
@@ -96,8 +96,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_stream(spark, f"{sf_dir}/events.parquet")
+def event_stream(
+    spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    return table_stream(spark, f"{sf_dir}/events.parquet", max_files_per_trigger)
 
 
 def measured(source: DataFrame) -> DataFrame:
@@ -117,21 +119,28 @@ def as_log(source: DataFrame) -> DataFrame:
     return source.withColumns({"timeSeconds": elapsed, "pressureHpa": F.col("value")})
 
 
-def messages(source: DataFrame, broken: str | None = None) -> DataFrame:
-    """Events as bus rows; those of the event type ``broken`` with JSON cut short."""
+def messages(
+    source: DataFrame, broken: str | None = None, type_as_walk: bool = False
+) -> DataFrame:
+    """Events as bus rows.
+
+    JSON of the event type ``broken`` is cut short. ``type_as_walk`` makes few
+    long walks with one sensor, instead of one short walk per user.
+    """
+    kind, user = F.col("event_type"), F.col("user_id").cast("string")
     keyed = to_envelopes(
         as_log(source),
         user=USER,
         device=DEVICE,
-        walk=F.col("user_id").cast("string"),
-        sensor=F.col("event_type"),
+        walk=kind if type_as_walk else user,
+        sensor=LOG_SENSOR if type_as_walk else kind,
         base_epoch=BASE_EPOCH,
         keep=("event_id", "ts", "event_type"),
     )
     if broken:
         cut = F.expr("substring(value, 1, length(value) - 1)")
         keyed = keyed.withColumn(
-            "value", F.when(F.col("event_type") == broken, cut).otherwise(F.col("value"))
+            "value", F.when(kind == broken, cut).otherwise(F.col("value"))
         )
     return as_bus_rows(keyed, TOPIC, F.col("event_id"), F.col("ts").cast("timestamp"))
 
@@ -185,6 +194,12 @@ def event_time_seconds(spark, sf_dir):
     )
 
 
+@query
+def event_time_micros(spark, sf_dir):
+    moment = event_time(epoch_seconds(F.col("ts")), "micros")
+    return events(spark, sf_dir).select("event_id", moment.alias("event_time"))
+
+
 @query
 def envelope_roundtrip(spark, sf_dir):
     parsed = parse_messages(messages(events(spark, sf_dir)))
@@ -306,17 +321,33 @@ def text_file_stats(spark, sf_dir):
 # --- streams -----------------------------------------------------------------------
 
 
-@query
-def stream_live_table(spark, sf_dir):
+def filled_live_table(spark: SparkSession, sf_dir: str) -> str:
+    """All files in one batch: complete mode writes the whole table for each."""
     stats = window_stats(parse_messages(messages(event_stream(spark, sf_dir))), LONG)
     name = f"live_{uuid.uuid4().hex}"
     start_live_table(stats, name, fresh_folder(spark, "live"), NOW).awaitTermination()
-    return live_table(spark, name)
+    return name
+
+
+@query
+def stream_live_table(spark, sf_dir):
+    return live_table(spark, filled_live_table(spark, sf_dir))
+
+
+@query
+def live_table_sql(spark, sf_dir):
+    """The newest windows, asked of the live table by its name in SQL."""
+    return spark.sql(f"""
+        SELECT windowStart, windowEnd, walkId, sensorType, measurementCount, avgPressureHpa
+        FROM {filled_live_table(spark, sf_dir)}
+        ORDER BY windowStart DESC, walkId, sensorType LIMIT 20
+    """)
 
 
 def filled_lake(spark: SparkSession, sf_dir: str, broken: str | None = None) -> DataFrame:
     folder = fresh_folder(spark, "bronze")
-    parsed = parse_messages(messages(event_stream(spark, sf_dir), broken))
+    source = event_stream(spark, sf_dir, max_files_per_trigger=2000)
+    parsed = parse_messages(messages(source, broken))
     start_bronze(
         parsed,
         f"{folder}/lake",
@@ -369,6 +400,7 @@ def fill_cache(
     parts: int = 3,
     newest_first: bool = False,
     compact_after: int | None = None,
+    type_as_walk: bool = False,
 ) -> ResultCache:
     """Send the events to a replay bus part by part; after each, the cache's stream
     goes on from its checkpoint and takes in what is new."""
@@ -381,7 +413,7 @@ def fill_cache(
         part = events(spark, sf_dir).filter(
             (F.col("ts") >= bounds[0]) & (F.col("ts") < bounds[1])
         )
-        write_messages(messages(part), f"{folder}/bus")
+        write_messages(messages(part, type_as_walk=type_as_walk), f"{folder}/bus")
         stats = window_stats(parse_messages(replay_stream(spark, f"{folder}/bus")), spec)
         running = cache.start(stats, NOW, files_per_date=files_per_folder(spark))
         running.awaitTermination()
@@ -416,5 +448,6 @@ def cache_read(spark, sf_dir):
 
 @query
 def cache_day_series(spark, sf_dir):
-    wanted = CacheFilter(ONE_WALK, ONE_SENSOR, YEAR)
-    return day_series(fill_cache(spark, sf_dir, LONG).read(wanted, WALK_DAY), WALK_DAY)
+    wanted = CacheFilter(TYPE_WALK, LOG_SENSOR, YEAR)
+    cache = fill_cache(spark, sf_dir, HALF_HOURLY, type_as_walk=True)
+    return day_series(cache.read(wanted, WALK_DAY), WALK_DAY)

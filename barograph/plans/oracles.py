@@ -12,6 +12,7 @@ from barograph.plans.catalogue import (
     ONE_SENSOR,
     ONE_WALK,
     TOPIC,
+    TYPE_WALK,
     USER,
     WALK_DAY,
     YEAR,
@@ -36,11 +37,17 @@ ALL_KEYS = "walkId, deviceId, sensorType"
 
 
 def windows(
-    size: str, slide: str, overlap: int, keys: str = ALL_KEYS, kept: str = "TRUE", extra: str = ""
+    size: str,
+    slide: str,
+    overlap: int,
+    keys: str = ALL_KEYS,
+    kept: str = "TRUE",
+    extra: str = "",
+    measured: str = MEASURED,
 ) -> str:
     """``WITH`` list that ends in ``stats``: each row joined to its ``overlap`` windows."""
     listed = f", {keys}" if keys else ""
-    return f"""WITH {MEASURED}{extra},
+    return f"""WITH {measured}{extra},
 spans AS (
   SELECT time_bucket(INTERVAL '{slide}', eventTime, TIMESTAMP '1970-01-01')
            - i * INTERVAL '{slide}' AS windowStart, measured.*
@@ -78,6 +85,15 @@ halves AS (
     kept="""ts >= (SELECT middle FROM halves)
      OR windowStart + INTERVAL '20 days' > (SELECT watermark FROM halves)""",
 )
+TYPES_AS_WALKS = windows(
+    "1 hour", "30 minutes", 2,
+    measured=f"""
+measured AS (
+  SELECT event_type AS walkId, '{DEVICE}' AS deviceId, '{LOG_SENSOR}' AS sensorType,
+         date_trunc('second', ts) AS eventTime, value AS pressureHpa
+  FROM events
+)""",
+)
 CACHE_ROWS = f"SELECT {CACHE_NAMES} FROM stats"
 WALK = f"walkId = '{ONE_WALK}' AND sensorType = '{ONE_SENSOR}'"
 
@@ -108,6 +124,7 @@ SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time_text,
        date_trunc('second', ts) AS event_time
 FROM events""",
+    "event_time_micros": "SELECT event_id, ts AS event_time FROM events",
     "envelope_roundtrip": f"""
 SELECT '{TOPIC}' AS topic, CAST(0 AS INTEGER) AS "partition", event_id AS "offset",
        ts AS kafkaTimestamp, CAST(user_id AS VARCHAR) AS messageKey, '{USER}' AS userId,
@@ -154,6 +171,9 @@ ORDER BY windowStart""",
     "line_pair_sums": TEXT_TOTALS,
     "text_file_stats": TEXT_TOTALS,
     "stream_live_table": LONG + "SELECT * FROM stats",
+    "live_table_sql": LONG + """
+SELECT windowStart, windowEnd, walkId, sensorType, measurementCount, avgPressureHpa
+FROM stats ORDER BY windowStart DESC, walkId, sensorType LIMIT 20""",
     "stream_bronze": f"""
 SELECT '{TOPIC}' AS topic, CAST(0 AS INTEGER) AS "partition", event_id AS "offset",
        CAST(user_id AS VARCHAR) AS messageKey, '{USER}' AS userId, '{DEVICE}' AS deviceId,
@@ -176,11 +196,11 @@ FROM events WHERE event_type = '{ONE_SENSOR}'""",
 SELECT * EXCLUDE (device_id) FROM (
   {CACHE_ROWS} WHERE {WALK} AND year(windowStart) = {YEAR}
 ) ORDER BY window_start""",
-    "cache_day_series": LONG + f"""
+    "cache_day_series": TYPES_AS_WALKS + f"""
 SELECT window_start, avg_pressure_hpa, min_pressure_hpa, max_pressure_hpa, measurement_count
 FROM (
   {CACHE_ROWS}
-  WHERE {WALK} AND year(windowStart) = {YEAR} AND CAST(windowStart AS DATE) = DATE '{WALK_DAY}'
-    AND avgPressureHpa IS NOT NULL
+  WHERE walkId = '{TYPE_WALK}' AND sensorType = '{LOG_SENSOR}' AND year(windowStart) = {YEAR}
+    AND CAST(windowStart AS DATE) = DATE '{WALK_DAY}' AND avgPressureHpa IS NOT NULL
 ) ORDER BY window_start""",
 }

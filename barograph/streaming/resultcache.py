@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from barograph.functions.times import parse_day, year_bounds
 from barograph.operators.cache import cache_rows, latest_wins
 from barograph.operators.filters import in_year, on_day, on_sensor, on_walk
-from barograph.functions.times import parse_day, year_bounds
 from barograph.schema import CACHE, CACHE_KEY, layout
 from barograph.settings import CacheFilter, Trigger
 from barograph.streaming.starting import require_checkpoint, spread_over_files, start_stream
@@ -36,7 +36,7 @@ MANIFEST = layout({"upto": "bigint"})
 # The date follows from the window start, so it may join the key; as a key column
 # it lets filters on it pass through the view to the folders.
 VIEW_KEY = (*CACHE_KEY, DATE.name)
-FILE_ORDER = (DATE.name, "sensor_type", "walk_id", "window_start")
+FILE_ORDER = (DATE.name, "sensor_type", "walk_id", "window_start", "device_id")
 
 
 class ResultCache:

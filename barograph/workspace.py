@@ -12,19 +12,19 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or else set on the context.
 
-    Executors on other machines must reach it, so there is no fallback to a
-    machine-local folder except for a local master.
+    Executors on other machines must reach it, so only a local master may do
+    without: it gets a temporary folder.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="barograph-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="barograph-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
