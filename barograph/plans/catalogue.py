@@ -321,11 +321,20 @@ def text_file_stats(spark, sf_dir):
 # --- streams -----------------------------------------------------------------------
 
 
+def stream_width(spark: SparkSession, sf_dir: str) -> int:
+    """State partitions by size of input: the session's number, unless the table is
+    read in fewer tasks than that, and never below the number of cores."""
+    tasks = max(spark.sparkContext.defaultParallelism, events(spark, sf_dir).rdd.getNumPartitions())
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), tasks)
+
+
 def filled_live_table(spark: SparkSession, sf_dir: str) -> str:
     """All files in one batch: complete mode writes the whole table for each."""
     stats = window_stats(parse_messages(messages(event_stream(spark, sf_dir))), LONG)
     name = f"live_{uuid.uuid4().hex}"
-    start_live_table(stats, name, fresh_folder(spark, "live"), NOW).awaitTermination()
+    width = stream_width(spark, sf_dir)
+    running = start_live_table(stats, name, fresh_folder(spark, "live"), NOW, partitions=width)
+    running.awaitTermination()
     return name
 
 
@@ -348,19 +357,21 @@ def filled_lake(spark: SparkSession, sf_dir: str, broken: str | None = None) ->
     folder = fresh_folder(spark, "bronze")
     source = event_stream(spark, sf_dir, max_files_per_trigger=2000)
     parsed = parse_messages(messages(source, broken))
+    width = stream_width(spark, sf_dir)
     start_bronze(
         parsed,
         f"{folder}/lake",
         f"{folder}/checkpoint",
         NOW,
-        files_per_folder=files_per_folder(spark),
+        files_per_folder=files_per_folder(width),
+        partitions=width,
     ).awaitTermination()
     return bronze_table(spark, f"{folder}/lake")
 
 
-def files_per_folder(spark: SparkSession) -> int:
+def files_per_folder(width: int) -> int:
     """How many tasks one date may use when a load touches a month of dates."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+    return max(1, width // 8)
 
 
 @query
@@ -407,6 +418,7 @@ def fill_cache(
     folder = fresh_folder(spark, "cache")
     cache = ResultCache(spark, f"{folder}/cache")
     cuts = time_cuts(spark, sf_dir, parts)
+    width = stream_width(spark, sf_dir)
     spans = list(zip(cuts, cuts[1:]))
     for number, (start, end) in enumerate(reversed(spans) if newest_first else spans):
         bounds = [F.timestamp_micros(F.lit(cut)).cast("timestamp_ntz") for cut in (start, end)]
@@ -415,7 +427,9 @@ def fill_cache(
         )
         write_messages(messages(part, type_as_walk=type_as_walk), f"{folder}/bus")
         stats = window_stats(parse_messages(replay_stream(spark, f"{folder}/bus")), spec)
-        running = cache.start(stats, NOW, files_per_date=files_per_folder(spark))
+        running = cache.start(
+            stats, NOW, files_per_date=files_per_folder(width), partitions=width
+        )
         running.awaitTermination()
         if number == compact_after:
             cache.compact(running.lastProgress.batchId)

@@ -21,6 +21,7 @@ def start_bronze(
     trigger: Trigger = Trigger(every=10),
     name: str | None = None,
     files_per_folder: int | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Append measurements to the lake, in folders by event date and sensor type.
 
@@ -39,7 +40,7 @@ def start_bronze(
         .partitionBy(*BRONZE_PARTITIONS)
         .outputMode("append")
     )
-    return start_stream(spark, writer, checkpoint, trigger, name)
+    return start_stream(spark, writer, checkpoint, trigger, name, partitions)
 
 
 def write_messages(bus_rows: DataFrame, path: str) -> None:

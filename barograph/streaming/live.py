@@ -21,6 +21,7 @@ def start_live_table(
     root: str,
     trigger: Trigger = Trigger(every=5),
     versions: int = 3,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep a temporary view ``name`` equal to the whole result of an aggregation.
 
@@ -59,7 +60,7 @@ def start_live_table(
             last = spark.read.schema(layout).parquet(tables).agg(F.max("batch_id")).first()[0]
         show(last)
     writer = stats.writeStream.foreachBatch(publish).outputMode("complete")
-    return start_stream(spark, writer, checkpoint, trigger, name)
+    return start_stream(spark, writer, checkpoint, trigger, name, partitions)
 
 
 def poll(

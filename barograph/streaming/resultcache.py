@@ -67,6 +67,7 @@ class ResultCache:
         name: str | None = None,
         view: str | None = None,
         files_per_date: int | None = None,
+        partitions: int | None = None,
     ) -> StreamingQuery:
         """Keep the cache up to date with a stream of window statistics.
 
@@ -84,7 +85,7 @@ class ResultCache:
         if view:
             self.rows().createOrReplaceTempView(view)
         writer = cache_rows(stats).writeStream.foreachBatch(on_batch).outputMode("update")
-        return start_stream(self.spark, writer, self.checkpoint, trigger, name)
+        return start_stream(self.spark, writer, self.checkpoint, trigger, name, partitions)
 
     def compacted_through(self) -> int | None:
         """The last batch that the newest base covers."""
@@ -176,9 +177,18 @@ class ResultCache:
 
 
 def connector_upsert(connector: str, **options: str):
-    """A per-batch writer for an external keyed store, through its own connector."""
+    """A per-batch writer for an external keyed store, through its own connector.
+
+    Empty batches are left out. A batch is kept for the test and the write, so
+    that the stream's work for it is done once; lost parts are worked out again.
+    """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format(connector).mode("append").options(**options).save()
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                batch.write.format(connector).mode("append").options(**options).save()
+        finally:
+            batch.unpersist()
 
     return on_batch

@@ -25,15 +25,21 @@ def start_stream(
     checkpoint: str,
     trigger: Trigger,
     name: str | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Start with window state in RocksDB, which holds more keys than the heap can.
 
+    ``partitions`` is the number of state partitions and of tasks after a shuffle,
+    by default the session's. The checkpoint keeps that of the first start.
     A second query of the same name in one session is refused by Spark.
     """
+    settings = dict(STATE)
+    if partitions:
+        settings["spark__sql__shuffle__partitions"] = str(partitions)
     writer = writer.option("checkpointLocation", checkpoint).trigger(**trigger.options())
     if name:
         writer = writer.queryName(name)
-    with scoped_conf(spark, **STATE):
+    with scoped_conf(spark, **settings):
         return writer.start()
 
 

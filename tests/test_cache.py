@@ -160,6 +160,15 @@ def test_stream_fills_the_cache_and_a_restart_goes_on(spark, bus, tmp_path, cach
     assert cache.versions().count() > batch.count()
 
 
+def test_state_partitions_are_those_of_the_first_start(spark, bus, cache):
+    for partitions in (2, 3):
+        bus.send([envelope(0)])
+        query = cache.start(stats(spark, bus), NOW, partitions=partitions)
+        query.awaitTermination()
+        assert query.recentProgress[0].stateOperators[0].numShufflePartitions == 2
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
 def test_a_changelog_needs_its_checkpoint(spark, bus, cache):
     bus.send([envelope(0)])
     cache.start(stats(spark, bus), NOW).awaitTermination()
@@ -203,6 +212,9 @@ def test_connector_upsert_appends_through_the_connector(spark, tmp_path):
     write = connector_upsert("parquet", path=str(tmp_path / "store"))
     write(rows(spark, ("a", 0, 1, 1.0)), 0)
     write(rows(spark, ("a", 5, 1, 1.0)), 1)
+    files = len(list((tmp_path / "store").glob("part-*")))
+    write(rows(spark), 2)
+    assert len(list((tmp_path / "store").glob("part-*"))) == files
     assert spark.read.parquet(str(tmp_path / "store")).count() == 2
 
 

@@ -11,7 +11,7 @@ from barograph.operators.envelopes import parse_messages
 from barograph.operators.reports import band_series, local_frame, newest
 from barograph.operators.windows import window_stats
 from barograph.plans.jobs import LiveJob, start_live_job
-from barograph.session import health_check, scoped_conf
+from barograph.session import build_session, health_check, pin_utc, scoped_conf
 from barograph.settings import BusOptions, Trigger
 from barograph.sources.files import bronze_table
 from barograph.sources.messages import (
@@ -270,6 +270,16 @@ def test_bus_options_and_missing_connector(spark):
         bus_stream(spark, BusOptions("host:1", "t", "yesterday"))
 
 
+def test_session_is_pinned_to_utc(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Zurich")
+    session = build_session(shuffle_partitions=4)
+    assert session.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert session.conf.get("spark.sql.shuffle.partitions") == "4"
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Zurich")
+    pin_utc(spark)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
 def test_session_helpers(spark):
     assert health_check(spark).collect() == [(1,)]
     before = spark.conf.get("spark.sql.shuffle.partitions")
