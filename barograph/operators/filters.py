@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from barograph.functions.times import parse_day, year_bounds
 
 
-def on_walk(rows: DataFrame, walk: str, column: str = "walk_id") -> DataFrame:
+def on_walk(rows: DataFrame, walk: str | int, column: str = "walk_id") -> DataFrame:
     return rows.filter(F.col(column) == F.lit(walk))
 
 

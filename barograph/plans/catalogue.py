@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barograph.functions.payloads import decode_json
-from barograph.functions.times import epoch_seconds, epoch_text, event_time
+from barograph.functions.times import epoch_seconds, epoch_text, event_time, parse_day
 from barograph.operators.bronze import bad_rows
 from barograph.operators.cache import cache_rows
 from barograph.operators.envelopes import as_bus_rows, parse_messages, to_envelopes
@@ -231,9 +231,10 @@ def csv_log_roundtrip(spark, sf_dir):
 
 @query
 def walk_sensor_year(spark, sf_dir):
-    rows = measured(events(spark, sf_dir))
-    rows = on_sensor(on_walk(rows, ONE_WALK, "walkId"), ONE_SENSOR, "sensorType")
-    return by_start(in_year(rows, YEAR, "eventTime"), "eventTime")
+    """Filtered by the table's own columns, so that all three reach the scan."""
+    rows = on_walk(events(spark, sf_dir), int(ONE_WALK), "user_id")
+    rows = in_year(on_sensor(rows, ONE_SENSOR, "event_type"), YEAR, "ts")
+    return by_start(measured(rows), "eventTime")
 
 
 @query
@@ -280,8 +281,14 @@ def last_100_band(spark, sf_dir):
 
 @query
 def day_band(spark, sf_dir):
-    """All windows that start on one day, of all walks together."""
-    stats = window_stats(measured(events(spark, sf_dir)), HALF_HOURLY, keys=())
+    """All windows that start on one day, of all walks together.
+
+    The windows are shorter than a day, so only this day and the next are read.
+    """
+    day = F.to_date("ts")
+    first = F.lit(parse_day(DAY))
+    near = events(spark, sf_dir).filter((day >= first) & (day <= F.date_add(first, 1)))
+    stats = window_stats(measured(near), HALF_HOURLY, keys=())
     rows = stats.withColumnsRenamed({
         "windowStart": "window_start",
         "avgPressureHpa": "avg_pressure_hpa",

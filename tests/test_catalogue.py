@@ -41,6 +41,33 @@ def test_query_equals_its_sql(spark, engine, name):
     assert in_order(got) == in_order(expected)
 
 
+@pytest.mark.parametrize(
+    "name, pushed",
+    [
+        ("walk_sensor_year", ["EqualTo(user_id,8)", "EqualTo(event_type,error)",
+                              "GreaterThanOrEqual(ts,2024-01-01T00:00)"]),
+        ("year_day_filter", ["GreaterThanOrEqual(ts,2024-01-15T00:00)",
+                             "LessThan(ts,2024-01-16T00:00)"]),
+        ("day_band", ["GreaterThanOrEqual(ts,2024-01-15T00:00)", "LessThan(ts,2024-01-17T00:00)"]),
+    ],
+)
+def test_filters_reach_the_scan(spark, name, pushed):
+    frame = contract.queries()[name](spark, str(DATA))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PushedFilters"):plan.index("ReadSchema")]
+    assert all(item in filters for item in pushed), filters
+
+
+@pytest.mark.parametrize("name", contract.queries())
+def test_plans_have_no_cross_join_no_python_and_no_sort_aggregate(spark, name):
+    if name.startswith(("stream", "cache", "compacted", "late", "bronze", "live", "csv")):
+        pytest.skip("runs jobs of its own; see the tests of its parts")
+    plan = contract.queries()[name](spark, str(DATA))._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "SortAggregate"):
+        assert operator not in text
+
+
 def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.columns[:2] == ["windowStart", "windowEnd"] and not frame.isEmpty()
