@@ -97,12 +97,16 @@ measured AS (
 CACHE_ROWS = f"SELECT {CACHE_NAMES} FROM stats"
 WALK = f"walkId = '{ONE_WALK}' AND sensorType = '{ONE_SENSOR}'"
 
-TEXT_TOTALS = r"""WITH lines AS (
+WORD = (
+    r"[^\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+)
+TEXT_TOTALS = rf"""WITH lines AS (
   SELECT unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS line FROM documents
 ),
 counts AS (
   SELECT CAST(SUM(length(line)) AS BIGINT) AS chars,
-         CAST(SUM(len(regexp_extract_all(line, '[^\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'))) AS BIGINT) AS words,
+         CAST(SUM(len(regexp_extract_all(line, '{WORD}'))) AS BIGINT) AS words,
          COUNT(*) AS lines
   FROM lines
 )

@@ -56,7 +56,7 @@ class ResultCache:
         """
         rows = batch.withColumn(DATE.name, F.to_date("window_start"))
         if files_per_date:
-            rows = spread_over_files(rows, [F.col(DATE.name)], list(CACHE_KEY), files_per_date)
+            rows = spread_over_files(rows, [F.col(DATE.name)], CACHE_KEY, files_per_date)
         folder = f"{self.changelog}/batch_id={batch_id}"
         rows.write.mode("overwrite").partitionBy(DATE.name).parquet(folder)
 
@@ -66,14 +66,18 @@ class ResultCache:
         trigger: Trigger = Trigger(every=10),
         name: str | None = None,
         view: str | None = None,
-        files_per_date: int | None = None,
+        files_per_date: int | None = 16,
         partitions: int | None = None,
     ) -> StreamingQuery:
         """Keep the cache up to date with a stream of window statistics.
 
-        Only windows that changed are written. ``view`` names a temporary view of
-        the newest rows, brought up to date after each batch: a live table whose
-        state ends with the watermark and whose rows stay off the driver.
+        Only windows that changed are written, per date by ``files_per_date``
+        tasks, so that a stream with thousands of state partitions does not leave
+        as many small files per trigger; ``None`` writes from each.
+
+        ``view`` names a temporary view of the newest rows, brought up to date
+        after each batch: a live table whose state ends with the watermark and
+        whose rows stay off the driver.
         """
         require_checkpoint(self.spark, self.checkpoint, self.changelog)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -57,7 +59,7 @@ def require_checkpoint(spark: SparkSession, checkpoint: str, output: str) -> Non
 
 
 def spread_over_files(
-    rows: DataFrame, folders: list[Column], by: list[str], files: int
+    rows: DataFrame, folders: list[Column], by: Sequence[str], files: int
 ) -> DataFrame:
     """Bring the rows of an output folder together into at most ``files`` tasks.
 

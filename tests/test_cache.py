@@ -6,7 +6,7 @@ import datetime as dt
 from pathlib import Path
 
 import pytest
-from conftest import START, envelope
+from conftest import envelope
 from pyspark.sql import functions as F
 
 from barograph.operators.cache import cache_rows, latest_wins
@@ -111,9 +111,8 @@ def test_compacted_batches_can_go(spark, cache):
 
 def test_an_unfinished_compaction_is_not_read(spark, cache):
     cache.upsert(rows(spark, ("a", 0, 1, 1.0)), 0)
-    rows(spark, ("z", 0, 9, 9.0)).withColumn("window_date", F.to_date("window_start")).write.parquet(
-        f"{cache.base}/upto=0"
-    )
+    stray = rows(spark, ("z", 0, 9, 9.0)).withColumn("window_date", F.to_date("window_start"))
+    stray.write.parquet(f"{cache.base}/upto=0")
     assert shown(cache.rows()) == [("a", 0, 1, 1.0)]
     cache.compact(0)
     assert shown(cache.rows()) == [("a", 0, 1, 1.0)]

@@ -72,5 +72,6 @@ def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.columns[:2] == ["windowStart", "windowEnd"] and not frame.isEmpty()
     plan = frame._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
+    read = "struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>"
+    assert f"ReadSchema: {read}" in plan
     assert "Python" not in plan and plan.count("Exchange") == 1 and plan.count("from_json") == 1
