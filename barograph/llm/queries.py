@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barograph.llm import hashtree
+from barograph.llm import hashtree, licenses
 from barograph.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,8 +18,16 @@ def op8_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hashtree.sharded(table(spark, sf_dir, "documents"), tree, hashtree.with_shard(tree))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, and lines of them, that are a known licence or notice."""
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op8_hash_tree": op8_hash_tree,
+    "op10_license_scan": op10_license_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_license_scan": licenses.oracle(),
+}
