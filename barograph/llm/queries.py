@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barograph.llm import hashtree, licenses
+from barograph.llm import hashtree, licenses, quality
 from barograph.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and boosted trees over all documents, fitted on a sample of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model)
+
+
 def op8_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of 2 regions of 2 racks; grown by a seventeenth."""
     tree = hashtree.even_tree(16)
@@ -24,6 +31,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_boosted_quality": op1_boosted_quality,
     "op8_hash_tree": op8_hash_tree,
     "op10_license_scan": op10_license_scan,
 }
