@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barograph.llm import hashtree, licenses, quality
+from barograph.llm import bpetrie, hashtree, licenses, quality
 from barograph.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op1_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and boosted trees over all documents, fitted on a sample of the labels."""
@@ -25,6 +28,11 @@ def op8_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hashtree.sharded(table(spark, sf_dir, "documents"), tree, hashtree.with_shard(tree))
 
 
+def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by the word trie and decoded again."""
+    return bpetrie.encoded(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, and lines of them, that are a known licence or notice."""
     return licenses.license_scan(table(spark, sf_dir, "documents"))
@@ -33,6 +41,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_boosted_quality": op1_boosted_quality,
     "op8_hash_tree": op8_hash_tree,
+    "op9_trie_bpe": op9_trie_bpe,
     "op10_license_scan": op10_license_scan,
 }
 
