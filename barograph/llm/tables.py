@@ -2,19 +2,41 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+import barograph
 from barograph.workspace import fresh_folder, shared_root
 
 #: Bytes that separate words: blank, tab, line feed, vertical tab, form feed, return.
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for functions run there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(barograph.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="barograph-code-")) / "barograph.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
