@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barograph.llm import bpetrie, hashtree, licenses, quality
+from barograph.llm import bpetrie, hashtree, licenses, quality, simhash
 from barograph.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def op1_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, model)
 
 
+def op2_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and components of all documents, links at 4 differing bits or fewer."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of 2 regions of 2 racks; grown by a seventeenth."""
     tree = hashtree.even_tree(16)
@@ -40,6 +45,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_boosted_quality": op1_boosted_quality,
+    "op2_gray_simhash": op2_gray_simhash,
     "op8_hash_tree": op8_hash_tree,
     "op9_trie_bpe": op9_trie_bpe,
     "op10_license_scan": op10_license_scan,

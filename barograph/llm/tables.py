@@ -87,7 +87,7 @@ def numbered(
     )
 
 
-def split_groups(rows: DataFrame, key: str, member: str, size: str, bound: int) -> DataFrame:
+def split_groups(rows: DataFrame, member: str, size: str, bound: int) -> DataFrame:
     """Deal each group's pairs over parts of about twice ``bound`` rows at most.
 
     ``size`` is the number of rows of the group. A group within the bound is one
