@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barograph.llm.chunks import ChunkMemory, in_portions
+from barograph.llm.chunks import ChunkMemory, bounded, in_portions
 
+#: Words remembered besides the chunks they stand in.
+WORDS_KEPT = 700_000
 #: Pairs of tokens remembered as fit or unfit neighbours; beyond, the memory starts anew.
 PAIRS_KEPT = 1_000_000
 
@@ -146,24 +148,26 @@ class ByteVocabulary:
             going = live[shared]
             for at in range(shared, len(word)):
                 byte, ended = word[at], -1
+                going.append((at, root))
                 step = []
-                for begin, node in (*going, (at, root)):
-                    child = node.get(byte)
-                    if child is None:
+                for begin, node in going:
+                    if byte not in node:
                         continue
+                    child = node[byte]
                     step.append((begin, child))
-                    if ended < 0:  # longest first
-                        n = child.get(-1)
-                        if n is not None:
-                            if begin == 0:
-                                ended, place = n, 0
+                    if ended < 0 and -1 in child:  # longest first
+                        n = child[-1]
+                        if begin == 0:
+                            ended, place = n, 0
+                        else:
+                            pair = last[begin] << 20 | n
+                            if pair in beside:
+                                fits = beside[pair]
                             else:
-                                pair = last[begin] << 20 | n
-                                fits = beside.get(pair)
-                                if fits is None:
-                                    fits = beside[pair] = may(last[begin], n)
-                                if fits:
-                                    ended, place = n, begin
+                                fits = beside[pair] = may(last[begin], n)
+                            if fits:
+                                ended, place = n, begin
+                going.pop()
                 last.append(ended)
                 start.append(place)
                 live.append(step)
@@ -197,6 +201,11 @@ class Encoder:
         if any(" " in content for content in added):
             raise ValueError(f"{path} has added tokens with blanks")
         self.added = regex.compile(f"({'|'.join(map(regex.escape, added))})") if added else None
+        self.of_added = {
+            content: np.array([n], "<u4").tobytes()
+            for content, n in self.vocabulary.added.items()
+        }
+        self.coded: dict[str, bytes] = {}
         self.memory = ChunkMemory(self.encode_chunks)
 
     def cut(self, chunk: str) -> list[str]:
@@ -210,12 +219,11 @@ class Encoder:
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         cut = [self.cut(chunk) for chunk in chunks]
-        distinct = {word for words in cut for word in words}
-        raw = {word: word.encode() for word in distinct if word not in self.vocabulary.added}
+        self.coded = coded = bounded(self.coded, WORDS_KEPT)
+        coded.update(self.of_added)
+        raw = {word: word.encode() for words in cut for word in words if word not in coded}
         ids = self.vocabulary.encode_words(list(raw.values()))
-        coded = {word: np.array(ids[text], "<u4").tobytes() for word, text in raw.items()}
-        for content in distinct - raw.keys():
-            coded[content] = np.array([self.vocabulary.added[content]], "<u4").tobytes()
+        coded.update((word, np.array(ids[text], "<u4").tobytes()) for word, text in raw.items())
         return [b"".join(map(coded.__getitem__, words)) for words in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:

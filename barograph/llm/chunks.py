@@ -8,6 +8,7 @@ most of their chunks, and a chunk's ids are worked out once and remembered.
 from __future__ import annotations
 
 from collections.abc import Callable, Hashable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 import regex
@@ -15,8 +16,9 @@ import regex
 _DOUBLE = regex.compile(r"\s ")
 _CUT = regex.compile(r"(?<=\S) ")
 
-#: Chunks remembered from one batch to the next; beyond, the memory starts anew.
-CHUNKS_KEPT = 500_000
+#: Chunks remembered from one batch to the next; beyond, the older half stays, in which
+#: the common ones are.
+CHUNKS_KEPT = 1_500_000
 
 
 def chunk_keys(text: str) -> list[Hashable]:
@@ -29,6 +31,11 @@ def chunk_text(key: Hashable) -> str:
     return key[0] if isinstance(key, tuple) else f" {key}"
 
 
+def bounded(known: dict, kept: int) -> dict:
+    """The dictionary, or its older half if it has more than ``kept`` entries."""
+    return known if len(known) <= kept else dict(islice(known.items(), kept // 2))
+
+
 class ChunkMemory:
     """Ids of texts by ``encode`` of their chunks, each chunk given to it once.
 
@@ -41,13 +48,15 @@ class ChunkMemory:
         self.known: dict[Hashable, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.kept:
-            self.known = {}
-        known = self.known
+        self.known = known = bounded(self.known, self.kept)
         cut = [chunk_keys(text) for text in texts]
-        new = list({key for keys in cut for key in set(keys).difference(known)})
+        got = [list(map(known.get, keys)) for keys in cut]
+        gaps = [k for k, ids in enumerate(got) if None in ids]
+        new = list({key for k in gaps for key, ids in zip(cut[k], got[k]) if ids is None})
         known.update(zip(new, self.encode_chunks([chunk_text(key) for key in new]), strict=True))
-        return [b"".join(map(known.__getitem__, keys)) for keys in cut]
+        for k in gaps:
+            got[k] = [known[key] if x is None else x for key, x in zip(cut[k], got[k])]
+        return [b"".join(ids) for ids in got]
 
 
 def in_portions(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
