@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barograph.llm import bpetrie, hashtree, licenses, quality, simhash, tokenfile
+from barograph.llm import bpetrie, hashtree, licenses, packing, quality, simhash, tokenfile
 from barograph.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ def op2_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, each closed by id 2, in sequences of at most 1024 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"), BYTE_BPE, 2)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, closed by id 0, written to token files and read back."""
     return tokenfile.token_file_roundtrip(table(spark, sf_dir, "documents"), BYTE_BPE, 0)
@@ -51,6 +56,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_boosted_quality": op1_boosted_quality,
     "op2_gray_simhash": op2_gray_simhash,
+    "op3_vector_packing": op3_vector_packing,
     "op7_token_files": op7_token_files,
     "op8_hash_tree": op8_hash_tree,
     "op9_trie_bpe": op9_trie_bpe,
