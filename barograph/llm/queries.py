@@ -7,11 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barograph.llm import bpetrie, hashtree, licenses, packing, quality, simhash, tokenfile
+from barograph.llm import (
+    bpetrie,
+    hashtree,
+    licenses,
+    packing,
+    quality,
+    simhash,
+    tokenfile,
+    vptree,
+)
 from barograph.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Prunes where the gap exceeds a quarter of the best distance; recall is in the README.
+RELAXED = 4.0
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -32,6 +43,11 @@ def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), BYTE_BPE, 2)
 
 
+def op5_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector among all, by largest inner product."""
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20, factor=RELAXED)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, closed by id 0, written to token files and read back."""
     return tokenfile.token_file_roundtrip(table(spark, sf_dir, "documents"), BYTE_BPE, 0)
@@ -57,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op1_boosted_quality": op1_boosted_quality,
     "op2_gray_simhash": op2_gray_simhash,
     "op3_vector_packing": op3_vector_packing,
+    "op5_vantage_trees": op5_vantage_trees,
     "op7_token_files": op7_token_files,
     "op8_hash_tree": op8_hash_tree,
     "op9_trie_bpe": op9_trie_bpe,
