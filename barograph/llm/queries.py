@@ -12,6 +12,7 @@ from barograph.llm import (
     hashtree,
     licenses,
     packing,
+    pii,
     quality,
     simhash,
     tokenfile,
@@ -21,6 +22,8 @@ from barograph.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The queries' own key; a job passes one that is kept secret.
+QUERY_KEY = b"key of the registered queries"
 #: Prunes where the gap exceeds a quarter of the best distance; recall is in the README.
 RELAXED = 4.0
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +46,12 @@ def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), BYTE_BPE, 2)
 
 
+def op4_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with format-preserving pseudonyms, and how many values each had."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymised(docs, QUERY_KEY, count="replaced")
+
+
 def op5_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every twentieth vector among all, by largest inner product."""
     return vptree.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20, factor=RELAXED)
@@ -73,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op1_boosted_quality": op1_boosted_quality,
     "op2_gray_simhash": op2_gray_simhash,
     "op3_vector_packing": op3_vector_packing,
+    "op4_feistel_pseudonyms": op4_feistel_pseudonyms,
     "op5_vantage_trees": op5_vantage_trees,
     "op7_token_files": op7_token_files,
     "op8_hash_tree": op8_hash_tree,
