@@ -11,6 +11,7 @@ from barograph.llm import (
     bpetrie,
     hashtree,
     licenses,
+    linededup,
     packing,
     pii,
     quality,
@@ -57,6 +58,12 @@ def op5_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20, factor=RELAXED)
 
 
+def op6_minhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated and near-equal lines, and how many each lost."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.deduplicated(docs, count="removed")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, closed by id 0, written to token files and read back."""
     return tokenfile.token_file_roundtrip(table(spark, sf_dir, "documents"), BYTE_BPE, 0)
@@ -84,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op3_vector_packing": op3_vector_packing,
     "op4_feistel_pseudonyms": op4_feistel_pseudonyms,
     "op5_vantage_trees": op5_vantage_trees,
+    "op6_minhash_lines": op6_minhash_lines,
     "op7_token_files": op7_token_files,
     "op8_hash_tree": op8_hash_tree,
     "op9_trie_bpe": op9_trie_bpe,
