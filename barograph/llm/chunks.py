@@ -10,7 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable, Hashable, Iterator
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 _DOUBLE = regex.compile(r"\s ")
@@ -18,7 +20,7 @@ _CUT = regex.compile(r"(?<=\S) ")
 
 #: Chunks remembered from one batch to the next; beyond, the older half stays, in which
 #: the common ones are.
-CHUNKS_KEPT = 1_500_000
+CHUNKS_KEPT = 1_000_000
 
 
 def chunk_keys(text: str) -> list[Hashable]:
@@ -47,16 +49,43 @@ class ChunkMemory:
         self.kept = kept
         self.known: dict[Hashable, bytes] = {}
 
+    def _ids(self, keys: list[Hashable]) -> list[bytes]:
+        got = list(map(self.known.get, keys))
+        new = list(dict.fromkeys(key for key, ids in zip(keys, got, strict=True) if ids is None))
+        if not new:
+            return got
+        coded = self.encode_chunks([chunk_text(key) for key in new])
+        self.known.update(zip(new, coded, strict=True))
+        return [self.known[key] if ids is None else ids for key, ids in zip(keys, got, strict=True)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        self.known = known = bounded(self.known, self.kept)
-        cut = [chunk_keys(text) for text in texts]
-        got = [list(map(known.get, keys)) for keys in cut]
-        gaps = [k for k, ids in enumerate(got) if None in ids]
-        new = list({key for k in gaps for key, ids in zip(cut[k], got[k]) if ids is None})
-        known.update(zip(new, self.encode_chunks([chunk_text(key) for key in new]), strict=True))
-        for k in gaps:
-            got[k] = [known[key] if x is None else x for key, x in zip(cut[k], got[k])]
-        return [b"".join(ids) for ids in got]
+        """Ids of each text. Repeated chunks are found by Arrow and looked up once per call."""
+        self.known = bounded(self.known, self.kept)
+        plain = [k for k, text in enumerate(texts) if _DOUBLE.search(text) is None]
+        out = [b""] * len(texts)
+        for k in set(range(len(texts))).difference(plain):
+            out[k] = b"".join(self._ids(chunk_keys(texts[k])))
+        if not plain:
+            return out
+        split = pc.split_pattern(pa.array([texts[k] for k in plain], pa.large_string()), " ")
+        begin = split.offsets.to_numpy()[:-1]
+        chunks = split.flatten().dictionary_encode()
+        names = chunks.dictionary.to_pylist()
+        # The first chunk of a text has no blank before it and is a name of its own.
+        which = chunks.indices.to_numpy().astype(np.int64)
+        firsts = [(texts[k].partition(" ")[0],) for k in plain]
+        which[begin] = len(names) + np.arange(len(plain))
+        ids = self._ids([*names, *firsts])
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        wide = size[which]
+        ends = np.cumsum(wide)
+        place = np.arange(ends[-1]) + np.repeat((np.cumsum(size) - size)[which] - ends + wide, wide)
+        found = pool[place]
+        cuts = [*(ends - wide)[begin].tolist(), int(ends[-1])]
+        for at, k in enumerate(plain):
+            out[k] = found[cuts[at] : cuts[at + 1]].tobytes()
+        return out
 
 
 def in_portions(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
