@@ -33,7 +33,13 @@ LEAST_WORDS = 5
 #: Distinct lines of a bucket that meet in one task.
 TOGETHER = 2_000
 
+#: Buckets of more lines compare by counts of shared shingles, smaller ones by sets.
+FEW = 12
+#: Bits of the filter that spares most unwanted lines the way to the join; fixed size.
+FILTER_BITS = 1 << 26
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_EMPTY = np.uint32(2**32 - 1)
 
 
 def considered(line: str) -> bool:
@@ -72,24 +78,46 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def band_keys(lines: list[str]) -> np.ndarray:
-    """A row of ``BANDS`` signed 64-bit keys per line."""
+    """A row of ``BANDS`` signed 64-bit keys per line.
+
+    Here a character counts by its lowest byte, so that eight of them are one
+    word of memory. Rare characters may look alike: that adds candidates, which
+    the exact comparison tells apart, and loses none.
+    """
     bins = BANDS * ROWS
-    hashes, of = shingle_hashes(lines)
-    empty = ~np.uint64(0)
-    signature = np.full(len(lines) * bins, empty)
-    np.minimum.at(signature, of * bins + (hashes % np.uint64(bins)).astype(np.int64), hashes)
+    raw = [line.strip().ljust(SHINGLE, "\0") for line in lines]
+    size = np.array([len(x) for x in raw], np.int64)
+    codes = np.frombuffer("".join(raw).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint8)
+    count = len(codes) - SHINGLE + 1
+    words = np.empty(count, "<u8")
+    for k in range(SHINGLE):
+        part = np.frombuffer(codes.data, "<u8", (len(codes) - k) // SHINGLE, k)
+        words[k::SHINGLE] = part
+    words *= _ODD
+    words ^= words >> np.uint64(29)
+    words *= np.uint64(0xBF58476D1CE4E5B9)
+    # A word that goes over the end of its line is no shingle.
+    inside = np.ones(count, bool)
+    ends = np.cumsum(size)[:-1]
+    for k in range(1, SHINGLE):
+        inside[ends - k] = False
+    cell = ((words >> np.uint64(40)) * np.uint64(bins) >> np.uint64(24)).astype(np.int64)
+    cell += np.repeat(np.arange(len(lines)) * bins, size)[:count]
+    signature = np.full(len(lines) * bins, _EMPTY)
+    np.minimum.at(signature, cell[inside], words[inside].astype(np.uint32))
     signature = signature.reshape(len(lines), bins)
     # An empty bin takes over another one's value, at a distance that its place decides, so
     # that lines with the same shingles fill it alike.
+    sparse = np.flatnonzero((signature == _EMPTY).any(axis=1))
+    short = signature[sparse]
     for turn in range(1, 64):
-        hole = signature == empty
+        hole = short == _EMPTY
         if not hole.any():
             break
-        source = (np.arange(bins) * 31 + turn * 17 + turn * turn) % bins
-        moved = signature[:, source]
-        usable = hole & (moved != empty) & ~hole[:, source]
-        signature = np.where(usable, _mixed(moved + np.uint64(turn)), signature)
-    groups = signature.reshape(len(lines), BANDS, ROWS)
+        moved = short[:, (np.arange(bins) * 31 + turn * 17 + turn * turn) % bins]
+        short = np.where(hole & (moved != _EMPTY), moved ^ np.uint32(turn), short)
+    signature[sparse] = short
+    groups = signature.reshape(len(lines), BANDS, ROWS).astype(np.uint64)
     keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * _ODD, groups.shape[:2])
     for k in range(ROWS):
         keys = _mixed(keys ^ groups[:, :, k]) + _ODD
@@ -157,18 +185,83 @@ def _buckets(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(text).mapInArrow(deal, "band long, line long")
 
 
+def _shared_buckets(docs: DataFrame, text: str) -> DataFrame:
+    """Rows (band, line) of the buckets with two lines or more, each once.
+
+    The rows pass in order of band and line, so no bucket is held.
+    """
+    ordered = _buckets(docs, text).repartition("band").sortWithinPartitions("band", "line")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((0, 2), np.int64)  # the last row, and whether it was given out
+        given = False
+        for batch in batches:
+            rows = np.concatenate([held, np.stack([x.to_numpy() for x in batch.columns], axis=1)])
+            if not len(rows):
+                continue
+            rows = rows[np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)]]
+            same = rows[1:, 0] == rows[:-1, 0]
+            out = np.r_[False, same] | np.r_[same, False]
+            last = bool(out[-1]) or given and len(rows) == 1
+            if given:
+                out[0] = False
+            held, given = rows[-1:], last
+            out = rows[out]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[:, 0]), pa.array(out[:, 1])], ["band", "line"]
+            )
+
+    return ordered.mapInArrow(keep, "band long, line long")
+
+
+def _filter_words(wanted: DataFrame) -> np.ndarray:
+    """A bitmap of the wanted lines' digests, of fixed size."""
+    bit = F.pmod(F.col("line"), F.lit(FILTER_BITS))
+    words = wanted.groupBy((bit / 64).cast("int").alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(line, {FILTER_BITS}) % 64 AS int))")).alias("bits")
+    )
+    found = words.toPandas()
+    bitmap = np.zeros(FILTER_BITS // 64, np.uint64)
+    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    return bitmap
+
+
 def _bodies(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
     """line and body of the wanted lines."""
+    bitmap = docs.sparkSession.sparkContext.broadcast(_filter_words(wanted))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lines in _portions(batch.column(0)):
-                own = pa.array([line_key(x) for x in lines], pa.int64())
-                yield pa.RecordBatch.from_arrays([own, pa.array(lines)], ["line", "body"])
+                own = np.array([line_key(x) for x in lines], np.int64)
+                bit = own % FILTER_BITS
+                word = bitmap.value[bit >> 6] >> (bit & 63).astype(np.uint64)
+                hit = np.flatnonzero(word & np.uint64(1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own[hit]), pa.array([lines[k] for k in hit], pa.string())],
+                    ["line", "body"],
+                )
 
     rows = docs.select(text).mapInArrow(cut, "line long, body string")
     # One copy of each wanted line: equal digests have equal bodies.
-    return rows.join(wanted, "line", "left_semi").groupBy("line").agg(F.min("body").alias("body"))
+    once = rows.groupBy("line").agg(F.min("body").alias("body"))
+    return once.join(wanted, "line", "left_semi")
+
+
+def _alike_few(lines: list[str], least: float) -> list[int]:
+    sets = []
+    for line in lines:
+        line = line.strip().ljust(SHINGLE, "\0")
+        sets.append({line[k : k + SHINGLE] for k in range(len(line) - SHINGLE + 1)})
+    root = list(range(len(lines)))
+    for k, own in enumerate(sets):
+        for j in range(k):
+            if root[j] != root[k]:
+                shared = len(own & sets[j])
+                if shared >= least * (len(own) + len(sets[j]) - shared) - 1e-9:
+                    low, high = sorted((root[j], root[k]))
+                    root = [low if x == high else x for x in root]
+    return root
 
 
 def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
@@ -177,6 +270,8 @@ def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
     Each line not yet joined to a line before it is compared with all others not
     in its component at once, by the number of shingles they share.
     """
+    if len(lines) <= FEW:
+        return np.array(_alike_few(lines, least))
     hashes, of = shingle_hashes(lines)
     pairs = np.unique(np.stack([of.astype(np.uint64), hashes], axis=1), axis=0)
     of, (_, shingle) = pairs[:, 0].astype(np.int64), np.unique(pairs[:, 1], return_inverse=True)
@@ -203,17 +298,17 @@ def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
 
 def line_links(docs: DataFrame, text: str = "text", together: int = TOGETHER) -> DataFrame:
     """Links (a, b) of digests that join all lines found alike."""
-    dealt = stored(_buckets(docs, text).distinct(), "line-bands")
+    dealt = stored(_shared_buckets(docs, text), "line-buckets")
     sizes = dealt.groupBy("band").agg(
         F.count("*").alias("size"),
         F.bit_xor(F.xxhash64("line")).alias("members"),
         F.sum(F.pmod(F.xxhash64("line", F.lit(3)), F.lit(1 << 31))).alias("sum"),
     )
     # Buckets with the same lines need one look.
-    shared = sizes.filter(F.col("size") > 1).groupBy("size", "members", "sum")
-    shared = shared.agg(F.min("band").alias("band")).select("band", "size")
-    found = stored(dealt.join(shared, "band"), "line-buckets")
-    bodies = _bodies(docs, found.select("line").distinct(), text)
+    shared = sizes.groupBy("size", "members", "sum").agg(F.min("band").alias("band"))
+    found = stored(dealt.join(shared.select("band", "size"), "band"), "line-looks")
+    wanted = found.select("line").distinct()
+    bodies = stored(_bodies(docs, wanted, text), "line-bodies")
     parts = split_groups(found.join(bodies, "line"), "line", "size", together)
     own = ["band", "part_a", "part_b"]
     ordered = (
