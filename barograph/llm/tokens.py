@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 
 from barograph.llm.chunks import ChunkMemory
 
-#: New chunks are encoded in runs of about so many characters.
-RUN = 50_000
+#: So many new chunks go to the tokenizer as one text; it is slower on longer ones.
+RUN = 64
 
 
 @lru_cache(maxsize=1)
@@ -39,28 +40,19 @@ def token_memory(path: str) -> ChunkMemory:
         return [np.array(x.ids, "<u4") for x in found]
 
     def encode(chunks: list[str]) -> list[bytes]:
-        coded: dict[str, bytes] = {}
-        runs: list[list[str]] = [[]]
-        alone, size = [], 0
-        for chunk in chunks:
-            if not chunk.startswith(" ") or len(chunk) < 2 or chunk[-1].isspace():
-                alone.append(chunk)
-                continue
-            runs[-1].append(chunk)
-            size += len(chunk)
-            if size > RUN:
-                runs.append([])
-                size = 0
-        for run, ids in zip(runs, ids_of(["".join(run) for run in runs]), strict=True):
+        beside = [c[0:1] == " " and len(c) > 1 and not c[-1].isspace() for c in chunks]
+        together = list(compress(chunks, beside))
+        alone = [c for c, b in zip(chunks, beside, strict=True) if not b]
+        runs = ["".join(together[k : k + RUN]) for k in range(0, len(together), RUN)]
+        coded: list[bytes] = []
+        if runs:
+            ids = np.concatenate(ids_of(runs))
+            ends = np.cumsum(np.fromiter(map(len, map(str.encode, together)), np.int64))
+            cuts = ((np.searchsorted(np.cumsum(width[ids]), ends) + 1) * 4).tolist()
             raw = ids.tobytes()
-            ends = np.cumsum([len(chunk.encode()) for chunk in run], dtype=np.int64)
-            cuts = (np.searchsorted(np.cumsum(width[ids]), ends) + 1) * 4
-            begin = 0
-            for chunk, end in zip(run, cuts.tolist(), strict=True):
-                coded[chunk] = raw[begin:end]
-                begin = end
-        for chunk, ids in zip(alone, ids_of(alone), strict=True):
-            coded[chunk] = ids.tobytes()
-        return [coded[chunk] for chunk in chunks]
+            coded = [raw[x:y] for x, y in zip([0, *cuts], cuts)]
+        rest = iter(ids_of(alone))
+        found = iter(coded)
+        return [next(found) if b else next(rest).tobytes() for b in beside]
 
     return ChunkMemory(encode)
