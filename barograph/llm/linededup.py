@@ -10,7 +10,10 @@ occurrence, the first, stays.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,7 @@ LEAST_WORDS = 5
 #: Distinct lines of a bucket that meet in one task.
 TOGETHER = 2_000
 
-#: Buckets of more lines compare by counts of shared shingles, smaller ones by sets.
+#: Buckets of more lines look for pairs by rare shingles; smaller ones compare all.
 FEW = 12
 #: Bits of the filter that spares most unwanted lines the way to the join; fixed size.
 FILTER_BITS = 1 << 26
@@ -43,7 +46,7 @@ _EMPTY = np.uint32(2**32 - 1)
 
 
 def considered(line: str) -> bool:
-    return len(line.split()) >= LEAST_WORDS
+    return len(line.split(None, LEAST_WORDS - 1)) >= LEAST_WORDS
 
 
 def line_key(line: str) -> int:
@@ -58,25 +61,6 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the character shingles of all lines, and which line each is of.
-
-    A line shorter than a shingle is one shingle.
-    """
-    raw = [line.strip().ljust(SHINGLE, "\0") for line in lines]
-    size = np.array([len(x) for x in raw], np.int64)
-    codes = np.frombuffer("".join(raw).encode("utf-32-le", "surrogatepass"), "<u4")
-    codes = codes.astype(np.uint64)
-    rolled = np.zeros(len(codes) - SHINGLE + 1 if len(codes) else 0, np.uint64)
-    for k in range(SHINGLE):
-        rolled = rolled * _ODD + codes[k : k + len(rolled)]
-    first = np.cumsum(size) - size
-    count = size - SHINGLE + 1
-    of = np.repeat(np.arange(len(raw)), count)
-    inside = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-    return _mixed(rolled[first[of] + inside]), of
-
-
 def band_keys(lines: list[str]) -> np.ndarray:
     """A row of ``BANDS`` signed 64-bit keys per line.
 
@@ -248,52 +232,49 @@ def _bodies(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
     return once.join(wanted, "line", "left_semi")
 
 
-def _alike_few(lines: list[str], least: float) -> list[int]:
-    sets = []
-    for line in lines:
-        line = line.strip().ljust(SHINGLE, "\0")
-        sets.append({line[k : k + SHINGLE] for k in range(len(line) - SHINGLE + 1)})
-    root = list(range(len(lines)))
-    for k, own in enumerate(sets):
-        for j in range(k):
-            if root[j] != root[k]:
-                shared = len(own & sets[j])
-                if shared >= least * (len(own) + len(sets[j]) - shared) - 1e-9:
-                    low, high = sorted((root[j], root[k]))
-                    root = [low if x == high else x for x in root]
-    return root
+def shingles(line: str) -> set[str]:
+    """The character shingles of a line; one shorter than a shingle is one."""
+    line = line.strip().ljust(SHINGLE, "\0")
+    return {line[k : k + SHINGLE] for k in range(len(line) - SHINGLE + 1)}
 
 
 def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
     """For each line of a bucket the first one of its component, by exact Jaccard similarity.
 
-    Each line not yet joined to a line before it is compared with all others not
-    in its component at once, by the number of shingles they share.
+    In a large bucket the lines' shingles are ordered from rare to common. Two
+    lines alike enough share one of their rarest shingles, of which each looks
+    at as many as it can miss and one more; no other pair needs a comparison.
     """
+    sets = [shingles(line) for line in lines]
+    root = list(range(len(lines)))
+    members = {k: [k] for k in root}
+
+    def compare(k: int, others) -> None:
+        own = sets[k]
+        for j in others:
+            if root[j] == root[k]:
+                continue
+            shared = len(own & sets[j])
+            if shared >= least * (len(own) + len(sets[j]) - shared) - 1e-9:
+                low, high = sorted((root[j], root[k]))
+                for x in members[high]:
+                    root[x] = low
+                members[low] += members.pop(high)
+
     if len(lines) <= FEW:
-        return np.array(_alike_few(lines, least))
-    hashes, of = shingle_hashes(lines)
-    pairs = np.unique(np.stack([of.astype(np.uint64), hashes], axis=1), axis=0)
-    of, (_, shingle) = pairs[:, 0].astype(np.int64), np.unique(pairs[:, 1], return_inverse=True)
-    size = np.bincount(of, minlength=len(lines))
-    begin = np.cumsum(size) - size
-    by = np.argsort(shingle, kind="stable")
-    owner = of[by]
-    spans = np.searchsorted(shingle[by], np.arange(shingle.max(initial=-1) + 2))
-    root = np.arange(len(lines))
-    for k in range(len(lines)):
-        rest = root != root[k]
-        if not rest.any():
-            break
-        own = shingle[begin[k] : begin[k] + size[k]]
-        others = np.concatenate([owner[spans[s] : spans[s + 1]] for s in own])
-        shared = np.bincount(others, minlength=len(lines))
-        # shared / union >= least, in whole numbers of shingles.
-        alike = rest & (shared * (1 + least) >= least * (size + size[k]) - 1e-9)
-        if alike.any():
-            joined = np.isin(root, np.append(root[alike], root[k]))
-            root[joined] = root[joined].min()
-    return root
+        for k in range(len(lines)):
+            compare(k, range(k))
+        return np.array(root)
+    times = Counter(chain.from_iterable(sets))
+    rank = {s: n for n, s in enumerate(sorted(times, key=lambda s: (times[s], s)))}
+    seen: dict[int, list[int]] = {}
+    for k, own in enumerate(sets):
+        rarest = sorted(map(rank.__getitem__, own))
+        rarest = rarest[: len(own) - ceil(least * len(own) - 1e-9) + 1]
+        compare(k, sorted({j for s in rarest for j in seen.get(s, ())}))
+        for s in rarest:
+            seen.setdefault(s, []).append(k)
+    return np.array(root)
 
 
 def line_links(docs: DataFrame, text: str = "text", together: int = TOGETHER) -> DataFrame:
