@@ -271,7 +271,11 @@ def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
     for k, own in enumerate(sets):
         rarest = sorted(map(rank.__getitem__, own))
         rarest = rarest[: len(own) - ceil(least * len(own) - 1e-9) + 1]
-        compare(k, sorted({j for s in rarest for j in seen.get(s, ())}))
+        # Near copies of one line are mostly alike to the one before; if that leaves a
+        # single component so far, there is no pair left to look for.
+        compare(k, range(max(0, k - 1), k))
+        if len(members) - (len(lines) - k - 1) > 1:
+            compare(k, sorted({j for s in rarest for j in seen.get(s, ()) if root[j] != root[k]}))
         for s in rarest:
             seen.setdefault(s, []).append(k)
     return np.array(root)
