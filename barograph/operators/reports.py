@@ -75,16 +75,55 @@ def first_row(rows: DataFrame):
 
 
 def preview(rows: DataFrame, n: int = 20) -> None:
+    """Schema and first rows on the console."""
     rows.printSchema()
     rows.show(n, truncate=False)
 
 
-def local_frame(rows: DataFrame, most: int = 20_000) -> pd.DataFrame:
+def thinned(
+    series: DataFrame,
+    points: int,
+    time: str = "window_start",
+    mean: str = "avg_pressure_hpa",
+    low: str = "min_pressure_hpa",
+    high: str = "max_pressure_hpa",
+    count: str = "measurement_count",
+) -> DataFrame:
+    """A band series of any length as at most ``points`` rows, for a chart of that width.
+
+    The time range is cut into equal spans; each gives its first time, its mean
+    weighted by count, its least and greatest value and its count. All rows
+    count. Rows without a time are left out.
+    """
+    if points < 1:
+        raise ValueError("a chart needs a point")
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    first, last = series.agg(F.min(micros), F.max(micros)).first()
+    width = ((last or 0) - (first or 0)) // points + 1
+    span = F.floor((micros - F.lit(first or 0)) / F.lit(width))
+    weighted = F.sum(F.col(mean) * F.col(count)) / F.sum(count)
+    return (
+        series.filter(F.col(time).isNotNull())
+        .groupBy(span.alias("_span"))
+        .agg(
+            F.min(time).alias(time),
+            weighted.alias(mean),
+            F.min(low).alias(low),
+            F.max(high).alias(high),
+            F.sum(count).alias(count),
+        )
+        .drop("_span")
+        .orderBy(time)
+    )
+
+
+def local_frame(rows: DataFrame, most: int) -> pd.DataFrame:
     """A series as a local frame for plotting.
 
-    More rows than ``most`` is an error rather than a cut: take a shorter series.
+    More rows than ``most`` is an error rather than a cut: thin the series, or
+    allow for more.
     """
     frame = rows.limit(most + 1).toPandas()
     if len(frame) > most:
-        raise ValueError(f"more than {most} rows; select fewer windows first")
+        raise ValueError(f"more than {most} rows; thin the series or raise the bound")
     return frame

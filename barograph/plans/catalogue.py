@@ -9,7 +9,7 @@ be compared with another engine's.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from barograph.operators.reports import (
     day_series,
     newest,
     rows_per_day,
+    thinned,
     time_range,
 )
 from barograph.operators.textstats import (
@@ -41,10 +42,11 @@ from barograph.schema import BRONZE, layout
 from barograph.session import pin_utc
 from barograph.settings import CacheFilter, Trigger, WindowSpec
 from barograph.sources.files import bronze_table, sensor_log, text_lines
-from barograph.sources.messages import replay_batch, replay_stream, table_stream
+from barograph.sources.messages import replay_batch, replay_stream
 from barograph.sources.tables import live_table
 from barograph.streaming.bronze import start_bronze, write_messages
 from barograph.streaming.live import start_live_table
+from barograph.streaming.monitor import stop_all
 from barograph.streaming.resultcache import ResultCache
 from barograph.workspace import fresh_folder
 
@@ -54,6 +56,7 @@ BASE_EPOCH = 1704067200.0  # 2024-01-01T00:00:00Z
 LOG_WALK, LOG_SENSOR = "walk-log", "barometer"
 ONE_WALK, ONE_SENSOR, YEAR, DAY = "8", "error", 2024, "2024-01-15"
 TYPE_WALK, WALK_DAY = "click", "2024-01-10"
+POINTS = 12  # of the thinned chart
 
 SHORT = WindowSpec("10 seconds", "5 seconds")
 LONG = WindowSpec("2 days", "1 day")
@@ -61,11 +64,6 @@ HOURLY = WindowSpec("1 hour", None)
 HALF_HOURLY = WindowSpec("1 hour", "30 minutes")
 WIDE = WindowSpec("20 days", "10 days")
 
-# Means of 32 or 64 values of two decimals end in an exact 5 after the sixth decimal,
-# which a last-bit difference would round either way; this is far more than such a
-# difference and far less than a decimal kept.
-NUDGE = 1e-9
-
 NOW = Trigger()
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -85,7 +83,10 @@ def comparable(rows: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.TimestampType):
             changed[field.name] = F.col(field.name).cast("timestamp_ntz")
         elif isinstance(field.dataType, T.DoubleType):
-            changed[field.name] = F.round(F.col(field.name) + NUDGE, 6)
+            # As a decimal number: of a mean that ends in an exact 5 after the sixth decimal,
+            # the last bit of a double would decide.
+            exact = F.col(field.name).try_cast("decimal(38, 9)")
+            changed[field.name] = F.round(exact, 6).cast("double")
     return rows.withColumns(changed) if changed else rows
 
 
@@ -96,12 +97,6 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def event_stream(
-    spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None
-) -> DataFrame:
-    return table_stream(spark, f"{sf_dir}/events.parquet", max_files_per_trigger)
-
-
 def measured(source: DataFrame) -> DataFrame:
     """Events as typed measurements, without the way through JSON."""
     return source.select(
@@ -283,11 +278,11 @@ def last_100_band(spark, sf_dir):
 def day_band(spark, sf_dir):
     """All windows that start on one day, of all walks together.
 
-    The windows are shorter than a day, so only this day and the next are read.
+    They hold rows of this day and of the window's length after it.
     """
-    day = F.to_date("ts")
-    first = F.lit(parse_day(DAY))
-    near = events(spark, sf_dir).filter((day >= first) & (day <= F.date_add(first, 1)))
+    start = F.lit(parse_day(DAY)).cast("timestamp_ntz")
+    after = start + F.expr(f"INTERVAL 1 DAY + INTERVAL {HALF_HOURLY.size}")
+    near = events(spark, sf_dir).filter((F.col("ts") >= start) & (F.col("ts") < after))
     stats = window_stats(measured(near), HALF_HOURLY, keys=())
     rows = stats.withColumnsRenamed({
         "windowStart": "window_start",
@@ -328,20 +323,32 @@ def text_file_stats(spark, sf_dir):
 # --- streams -----------------------------------------------------------------------
 
 
-def stream_width(spark: SparkSession, sf_dir: str) -> int:
-    """State partitions by size of input: the session's number, unless the table is
-    read in fewer tasks than that, and never below the number of cores."""
-    tasks = max(spark.sparkContext.defaultParallelism, events(spark, sf_dir).rdd.getNumPartitions())
-    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), tasks)
+def bus_parts(
+    spark: SparkSession,
+    sf_dir: str,
+    bus: str,
+    parts: int = 3,
+    newest_first: bool = False,
+    broken: str | None = None,
+    type_as_walk: bool = False,
+) -> Iterator[int]:
+    """Send the events to a replay bus in equal parts of their time range, one per step."""
+    cuts = time_cuts(spark, sf_dir, parts)
+    spans = list(zip(cuts, cuts[1:]))
+    for number, span in enumerate(reversed(spans) if newest_first else spans):
+        start, end = (F.timestamp_micros(F.lit(cut)).cast("timestamp_ntz") for cut in span)
+        part = events(spark, sf_dir).filter((F.col("ts") >= start) & (F.col("ts") < end))
+        write_messages(messages(part, broken, type_as_walk), bus)
+        yield number
 
 
 def filled_live_table(spark: SparkSession, sf_dir: str) -> str:
-    """All files in one batch: complete mode writes the whole table for each."""
-    stats = window_stats(parse_messages(messages(event_stream(spark, sf_dir))), LONG)
+    """In three parts, the query started anew for each."""
+    folder = fresh_folder(spark, "live")
     name = f"live_{uuid.uuid4().hex}"
-    width = stream_width(spark, sf_dir)
-    running = start_live_table(stats, name, fresh_folder(spark, "live"), NOW, partitions=width)
-    running.awaitTermination()
+    for _ in bus_parts(spark, sf_dir, f"{folder}/bus"):
+        stats = window_stats(parse_messages(replay_stream(spark, f"{folder}/bus")), LONG)
+        start_live_table(stats, name, f"{folder}/live", NOW).awaitTermination()
     return name
 
 
@@ -361,26 +368,14 @@ def live_table_sql(spark, sf_dir):
 
 
 def filled_lake(spark: SparkSession, sf_dir: str, broken: str | None = None) -> DataFrame:
+    """In three parts, the query started anew for each."""
     folder = fresh_folder(spark, "bronze")
-    source = event_stream(spark, sf_dir, max_files_per_trigger=2000)
-    parsed = parse_messages(messages(source, broken))
-    width = stream_width(spark, sf_dir)
-    start_bronze(
-        parsed,
-        f"{folder}/lake",
-        f"{folder}/checkpoint",
-        NOW,
-        files_per_folder=files_per_folder(width),
-        partitions=width,
-    ).awaitTermination()
+    for _ in bus_parts(spark, sf_dir, f"{folder}/bus", broken=broken):
+        parsed = parse_messages(replay_stream(spark, f"{folder}/bus"))
+        start_bronze(parsed, f"{folder}/lake", f"{folder}/checkpoint", NOW).awaitTermination()
     return bronze_table(spark, f"{folder}/lake")
 
 
-def files_per_folder(width: int) -> int:
-    """How many tasks one date may use when a load touches a month of dates."""
-    return max(1, width // 8)
-
-
 @query
 def stream_bronze(spark, sf_dir):
     kept = [name for name in BRONZE.fieldNames() if name not in ("ingestTime", "jsonValue")]
@@ -424,22 +419,14 @@ def fill_cache(
     goes on from its checkpoint and takes in what is new."""
     folder = fresh_folder(spark, "cache")
     cache = ResultCache(spark, f"{folder}/cache")
-    cuts = time_cuts(spark, sf_dir, parts)
-    width = stream_width(spark, sf_dir)
-    spans = list(zip(cuts, cuts[1:]))
-    for number, (start, end) in enumerate(reversed(spans) if newest_first else spans):
-        bounds = [F.timestamp_micros(F.lit(cut)).cast("timestamp_ntz") for cut in (start, end)]
-        part = events(spark, sf_dir).filter(
-            (F.col("ts") >= bounds[0]) & (F.col("ts") < bounds[1])
-        )
-        write_messages(messages(part, type_as_walk=type_as_walk), f"{folder}/bus")
+    sent = bus_parts(
+        spark, sf_dir, f"{folder}/bus", parts, newest_first, type_as_walk=type_as_walk
+    )
+    for number in sent:
         stats = window_stats(parse_messages(replay_stream(spark, f"{folder}/bus")), spec)
-        running = cache.start(
-            stats, NOW, files_per_date=files_per_folder(width), partitions=width
-        )
-        running.awaitTermination()
+        cache.start(stats, NOW).awaitTermination()
         if number == compact_after:
-            cache.compact(running.lastProgress.batchId)
+            cache.compact()
     return cache
 
 
@@ -454,6 +441,25 @@ def compacted_cache(spark, sf_dir):
     return fill_cache(spark, sf_dir, LONG, compact_after=1).rows().drop("updated_at")
 
 
+@query
+def compacted_live_cache(spark, sf_dir):
+    """Compacted, and covered batches dropped, between triggers of one running stream."""
+    folder = fresh_folder(spark, "cache")
+    cache = ResultCache(spark, f"{folder}/cache")
+    query = None
+    try:
+        for _ in bus_parts(spark, sf_dir, f"{folder}/bus"):
+            if query is None:
+                stats = window_stats(parse_messages(replay_stream(spark, f"{folder}/bus")), LONG)
+                query = cache.start(stats, Trigger(every=1))
+            query.processAllAvailable()
+            cache.compact()
+            cache.drop_compacted()
+    finally:
+        stop_all([query] if query else [])
+    return cache.rows().drop("updated_at")
+
+
 @query
 def late_rows_cache(spark, sf_dir):
     """The newer half first: older rows count only in windows still open."""
@@ -472,3 +478,11 @@ def cache_day_series(spark, sf_dir):
     wanted = CacheFilter(TYPE_WALK, LOG_SENSOR, YEAR)
     cache = fill_cache(spark, sf_dir, HALF_HOURLY, type_as_walk=True)
     return day_series(cache.read(wanted, WALK_DAY), WALK_DAY)
+
+
+@query
+def day_series_thinned(spark, sf_dir):
+    """The day's series on a chart of a dozen points."""
+    wanted = CacheFilter(TYPE_WALK, LOG_SENSOR, YEAR)
+    cache = fill_cache(spark, sf_dir, HALF_HOURLY, type_as_walk=True)
+    return thinned(day_series(cache.read(wanted, WALK_DAY), WALK_DAY), POINTS)

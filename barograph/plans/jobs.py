@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -10,15 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from barograph.operators.envelopes import as_bus_rows, parse_messages, to_envelopes
-from barograph.operators.reports import day_series, local_frame, rows_per_day, time_range
+from barograph.operators.reports import (
+    band_series,
+    day_series,
+    local_frame,
+    rows_per_day,
+    thinned,
+    time_range,
+)
 from barograph.operators.textstats import text_totals
 from barograph.operators.windows import window_stats
 from barograph.session import pin_utc
-from barograph.settings import CacheFilter, Trigger, WindowSpec
+from barograph.settings import BusOptions, CacheFilter, Trigger, WindowSpec
 from barograph.sources.files import sensor_log, text_lines
-from barograph.streaming.bronze import start_bronze, write_messages
+from barograph.streaming.bronze import publish_messages, start_bronze, write_messages
 from barograph.streaming.live import start_live_table
-from barograph.streaming.monitor import run_for, stop_all
+from barograph.streaming.monitor import query_status, run_for, stop_all
 from barograph.streaming.resultcache import ResultCache
 
 
@@ -33,6 +42,9 @@ class LiveJob:
     windows: WindowSpec = WindowSpec()
     table_trigger: Trigger = Trigger(every=5)
     bronze_trigger: Trigger = Trigger(every=10)
+    partitions: int | None = None
+    files_per_folder: int | None = None
+    keep_seconds: float = 600
 
 
 def start_live_job(messages: DataFrame, job: LiveJob) -> list[StreamingQuery]:
@@ -40,11 +52,21 @@ def start_live_job(messages: DataFrame, job: LiveJob) -> list[StreamingQuery]:
     pin_utc(messages.sparkSession)
     measured = parse_messages(messages)
     table = start_live_table(
-        window_stats(measured, job.windows), job.table, job.table_root, job.table_trigger
+        window_stats(measured, job.windows),
+        job.table,
+        job.table_root,
+        job.table_trigger,
+        keep_seconds=job.keep_seconds,
+        partitions=job.partitions,
     )
     try:
         lake = start_bronze(
-            measured, job.bronze_path, job.bronze_checkpoint, job.bronze_trigger
+            measured,
+            job.bronze_path,
+            job.bronze_checkpoint,
+            job.bronze_trigger,
+            files_per_folder=job.files_per_folder,
+            partitions=job.partitions,
         )
     except BaseException:
         stop_all([table])
@@ -52,14 +74,44 @@ def start_live_job(messages: DataFrame, job: LiveJob) -> list[StreamingQuery]:
     return [table, lake]
 
 
+def chart_feed(
+    spark: SparkSession,
+    queries: list[StreamingQuery],
+    table: str,
+    last_n: int = 100,
+    rounds: int = 60,
+    period: float = 5.0,
+) -> Iterator[tuple[pd.DataFrame, list[dict]]]:
+    """Every ``period`` seconds the newest ``last_n`` windows of the live table, for a chart,
+    and the state of the queries. Ends early once none of them runs."""
+    for turn in range(rounds):
+        if turn:
+            time.sleep(period)
+        series = local_frame(band_series(spark.table(table), last_n), last_n)
+        states = [query_status(query) for query in queries]
+        yield series, states
+        if not any(state["active"] for state in states):
+            return
+
+
 @dataclass(frozen=True)
 class CacheJob:
-    """Messages to the result cache, then reads from it."""
+    """Messages to the result cache, then reads from it.
+
+    ``compact_every`` seconds the job compacts what is committed and drops what
+    that covers; readers of the ``view`` have until the next time to finish.
+    """
 
     root: str
     windows: WindowSpec = WindowSpec()
     trigger: Trigger = Trigger(every=10)
     run_seconds: float = 60
+    name: str | None = None
+    view: str | None = None
+    partitions: int | None = None
+    files_per_date: int | None = None
+    compact_every: float | None = 600
+    report: Callable[[dict], None] | None = None
 
 
 @dataclass(frozen=True)
@@ -69,9 +121,9 @@ class CacheReport:
     per_day: DataFrame
     day: DataFrame | None
 
-    def day_frame(self) -> pd.DataFrame:
-        """The day's series as a local frame for plotting."""
-        return local_frame(self.day)
+    def day_frame(self, points: int = 2_000) -> pd.DataFrame:
+        """The day's series as a local frame for plotting, thinned to ``points`` rows."""
+        return local_frame(thinned(self.day, points), points)
 
 
 def run_cache_job(
@@ -81,9 +133,27 @@ def run_cache_job(
     spark = messages.sparkSession
     pin_utc(spark)
     cache = ResultCache(spark, job.root)
-    query = cache.start(window_stats(parse_messages(messages), job.windows), job.trigger)
+    query = cache.start(
+        window_stats(parse_messages(messages), job.windows),
+        job.trigger,
+        name=job.name,
+        view=job.view,
+        files_per_date=job.files_per_date,
+        partitions=job.partitions,
+    )
     try:
-        run_for(query, job.run_seconds)
+        left = job.run_seconds
+        while left > 0:
+            span = min(left, job.compact_every or left)
+            running = run_for(query, span, period=min(span, 5.0), report=job.report or (lambda state: None))
+            left -= span
+            if job.compact_every:
+                # What the compaction before this one covers; the view has turned from it since.
+                cache.drop_compacted()
+                cache.compact()
+                cache.show(job.view)
+            if not running:
+                break
     finally:
         stop_all([query])
     return report_cache(cache, wanted, day)
@@ -104,17 +174,21 @@ def report_cache(
 def send_sensor_log(
     spark: SparkSession,
     log_path: str,
-    replay_path: str,
+    replay_path: str | None,
     user: str,
     device: str,
     walk: str,
     sensor: str,
     base_epoch: float,
-    topic: str = "sensor.barometer",
+    topic: str,
+    bus: BusOptions | None = None,
 ) -> None:
-    """A CSV sensor log to replay messages, on all tasks at once."""
+    """A CSV sensor log to messages, on all tasks at once: to a replay folder, or to ``bus``."""
     keyed = to_envelopes(sensor_log(spark, log_path), user, device, walk, sensor, base_epoch)
-    write_messages(as_bus_rows(keyed, topic), replay_path)
+    if bus is not None:
+        publish_messages(keyed, bus)
+    else:
+        write_messages(as_bus_rows(keyed, topic), replay_path)
 
 
 def count_text(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -8,9 +8,9 @@ from barograph.plans.catalogue import (
     DEVICE,
     LOG_SENSOR,
     LOG_WALK,
-    NUDGE,
     ONE_SENSOR,
     ONE_WALK,
+    POINTS,
     TOPIC,
     TYPE_WALK,
     USER,
@@ -19,6 +19,13 @@ from barograph.plans.catalogue import (
 )
 from barograph.schema import CACHE
 
+
+
+def six(number: str) -> str:
+    """Rounded as the queries' doubles are: half up, at six decimals, as a decimal number."""
+    return f"CAST(ROUND(CAST({number} AS DECIMAL(38, 9)), 6) AS DOUBLE)"
+
+
 MEASURED = f"""
 measured AS (
   SELECT event_id AS "offset", CAST(user_id AS VARCHAR) AS walkId, '{DEVICE}' AS deviceId,
@@ -27,11 +34,11 @@ measured AS (
   FROM events
 )"""
 
-STATISTICS = f"""COUNT(*) AS measurementCount,
-       ROUND(AVG(pressureHpa) + {NUDGE}, 6) AS avgPressureHpa,
-       ROUND(MIN(pressureHpa), 6) AS minPressureHpa,
-       ROUND(MAX(pressureHpa), 6) AS maxPressureHpa,
-       ROUND(STDDEV_SAMP(pressureHpa) + {NUDGE}, 6) AS stddevPressureHpa"""
+STATISTICS = f"""COUNT(*) AS measurementCount, AVG(pressureHpa) AS mean,
+       {six('AVG(pressureHpa)')} AS avgPressureHpa,
+       {six('MIN(pressureHpa)')} AS minPressureHpa,
+       {six('MAX(pressureHpa)')} AS maxPressureHpa,
+       {six('STDDEV_SAMP(pressureHpa)')} AS stddevPressureHpa"""
 
 ALL_KEYS = "walkId, deviceId, sensorType"
 
@@ -114,13 +121,13 @@ SELECT 'chars' AS key, chars AS total FROM counts
 UNION ALL SELECT 'words', words FROM counts
 UNION ALL SELECT 'lines', lines FROM counts"""
 
-ELAPSED = f"ROUND(epoch_us(ts) / 1000000.0::DOUBLE - {BASE_EPOCH}::DOUBLE, 6)"
+ELAPSED = six(f"epoch_us(ts) / 1000000.0::DOUBLE - {BASE_EPOCH}::DOUBLE")
 
 ORACLES = {
-    "sliding_stats_10s_5s": windows("10 seconds", "5 seconds", 2) + "SELECT * FROM stats",
-    "sliding_stats_2d_1d": LONG + "SELECT * FROM stats",
-    "tumbling_stats_1h": HOURLY + "SELECT * FROM stats",
-    "message_window_stats": LONG + "SELECT * FROM stats",
+    "sliding_stats_10s_5s": windows("10 seconds", "5 seconds", 2) + "SELECT * EXCLUDE (mean) FROM stats",
+    "sliding_stats_2d_1d": LONG + "SELECT * EXCLUDE (mean) FROM stats",
+    "tumbling_stats_1h": HOURLY + "SELECT * EXCLUDE (mean) FROM stats",
+    "message_window_stats": LONG + "SELECT * EXCLUDE (mean) FROM stats",
     "cache_layout": LONG + CACHE_ROWS,
     "parse_json_payload": """
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
@@ -134,31 +141,31 @@ SELECT '{TOPIC}' AS topic, CAST(0 AS INTEGER) AS "partition", event_id AS "offse
        ts AS kafkaTimestamp, CAST(user_id AS VARCHAR) AS messageKey, '{USER}' AS userId,
        '{DEVICE}' AS deviceId, CAST(user_id AS VARCHAR) AS walkId, event_type AS sensorType,
        date_trunc('second', ts) AS eventTime, {ELAPSED} AS timeSeconds,
-       ROUND(value, 6) AS pressureHpa
+       {six('value')} AS pressureHpa
 FROM events""",
     "csv_log_roundtrip": f"""
 SELECT '{LOG_WALK}' AS messageKey, '{USER}' AS userId, '{DEVICE}' AS deviceId,
        '{LOG_WALK}' AS walkId, '{LOG_SENSOR}' AS sensorType,
        date_trunc('second', ts) AS eventTime, {ELAPSED} AS timeSeconds,
-       ROUND(value, 6) AS pressureHpa
+       {six('value')} AS pressureHpa
 FROM events""",
     "walk_sensor_year": f"""WITH {MEASURED}
-SELECT * EXCLUDE (ts) REPLACE (ROUND(pressureHpa, 6) AS pressureHpa) FROM measured
+SELECT * EXCLUDE (ts) REPLACE ({six('pressureHpa')} AS pressureHpa) FROM measured
 WHERE {WALK} AND year(eventTime) = {YEAR} ORDER BY eventTime""",
     "year_day_filter": f"""
-SELECT event_id, ts, user_id, event_type, ROUND(value, 6) AS value FROM events
+SELECT event_id, ts, user_id, event_type, {six('value')} AS value FROM events
 WHERE year(ts) = {YEAR} AND CAST(ts AS DATE) = DATE '{DAY}' ORDER BY ts""",
-    "windows_with_spread": LONG + "SELECT * FROM stats WHERE stddevPressureHpa IS NOT NULL",
+    "windows_with_spread": LONG + "SELECT * EXCLUDE (mean) FROM stats WHERE stddevPressureHpa IS NOT NULL",
     "range_diagnostic": HALF_HOURLY + """
 SELECT MIN(windowStart) AS min_window_start, MAX(windowStart) AS max_window_start,
        COUNT(*) AS row_count FROM stats""",
     "daily_counts": """
 SELECT CAST(ts AS DATE) AS date, COUNT(*) AS count FROM events GROUP BY 1 ORDER BY 1""",
     "newest_20": f"""WITH {MEASURED}
-SELECT * EXCLUDE (ts) REPLACE (ROUND(pressureHpa, 6) AS pressureHpa) FROM measured
+SELECT * EXCLUDE (ts) REPLACE ({six('pressureHpa')} AS pressureHpa) FROM measured
 ORDER BY eventTime DESC NULLS LAST, "offset" LIMIT 20""",
     "newest_20_windows": HALF_HOURLY + """
-SELECT * FROM stats ORDER BY windowStart DESC NULLS LAST, walkId, sensorType LIMIT 20""",
+SELECT * EXCLUDE (mean) FROM stats ORDER BY windowStart DESC NULLS LAST, walkId, sensorType LIMIT 20""",
     "last_100_band": HALF_HOURLY_TOGETHER + """
 SELECT * FROM (
   SELECT windowStart, avgPressureHpa, minPressureHpa, maxPressureHpa, measurementCount
@@ -174,7 +181,7 @@ ORDER BY windowStart""",
     "line_stats": TEXT_TOTALS,
     "line_pair_sums": TEXT_TOTALS,
     "text_file_stats": TEXT_TOTALS,
-    "stream_live_table": LONG + "SELECT * FROM stats",
+    "stream_live_table": LONG + "SELECT * EXCLUDE (mean) FROM stats",
     "live_table_sql": LONG + """
 SELECT windowStart, windowEnd, walkId, sensorType, measurementCount, avgPressureHpa
 FROM stats ORDER BY windowStart DESC, walkId, sensorType LIMIT 20""",
@@ -183,11 +190,11 @@ SELECT '{TOPIC}' AS topic, CAST(0 AS INTEGER) AS "partition", event_id AS "offse
        CAST(user_id AS VARCHAR) AS messageKey, '{USER}' AS userId, '{DEVICE}' AS deviceId,
        CAST(user_id AS VARCHAR) AS walkId, event_type AS sensorType,
        date_trunc('second', ts) AS eventTime, ts AS kafkaTimestamp, {ELAPSED} AS timeSeconds,
-       ROUND(value, 6) AS pressureHpa, CAST(ts AS DATE) AS eventDate
+       {six('value')} AS pressureHpa, CAST(ts AS DATE) AS eventDate
 FROM events""",
     "bronze_day": f"""
 SELECT event_id AS "offset", CAST(user_id AS VARCHAR) AS walkId,
-       date_trunc('second', ts) AS eventTime, ROUND(value, 6) AS pressureHpa,
+       date_trunc('second', ts) AS eventTime, {six('value')} AS pressureHpa,
        CAST(ts AS DATE) AS eventDate
 FROM events WHERE CAST(ts AS DATE) = DATE '{DAY}' AND event_type = '{ONE_SENSOR}'""",
     "bronze_bad_rows": f"""
@@ -195,11 +202,24 @@ SELECT event_id AS "offset", CAST(user_id AS VARCHAR) AS messageKey
 FROM events WHERE event_type = '{ONE_SENSOR}'""",
     "stream_result_cache": LONG + CACHE_ROWS,
     "compacted_cache": LONG + CACHE_ROWS,
+    "compacted_live_cache": LONG + CACHE_ROWS,
     "late_rows_cache": LATE + CACHE_ROWS,
     "cache_read": LONG + f"""
 SELECT * EXCLUDE (device_id) FROM (
   {CACHE_ROWS} WHERE {WALK} AND year(windowStart) = {YEAR}
 ) ORDER BY window_start""",
+    "day_series_thinned": TYPES_AS_WALKS + f""",
+days AS (
+  SELECT *, epoch_us(windowStart) AS micros FROM stats
+  WHERE walkId = '{TYPE_WALK}' AND sensorType = '{LOG_SENSOR}'
+    AND CAST(windowStart AS DATE) = DATE '{WALK_DAY}' AND avgPressureHpa IS NOT NULL
+),
+cuts AS (SELECT MIN(micros) AS low, (MAX(micros) - MIN(micros)) // {POINTS} + 1 AS width FROM days)
+SELECT MIN(windowStart) AS window_start,
+       {six('SUM(mean * measurementCount) / SUM(measurementCount)')} AS avg_pressure_hpa,
+       MIN(minPressureHpa) AS min_pressure_hpa, MAX(maxPressureHpa) AS max_pressure_hpa,
+       CAST(SUM(measurementCount) AS BIGINT) AS measurement_count
+FROM days, cuts GROUP BY (micros - low) // width ORDER BY 1""",
     "cache_day_series": TYPES_AS_WALKS + f"""
 SELECT window_start, avg_pressure_hpa, min_pressure_hpa, max_pressure_hpa, measurement_count
 FROM (

@@ -6,13 +6,11 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from barograph.settings import Trigger
 from barograph.streaming.starting import require_checkpoint, start_stream
-from barograph.workspace import path_exists
+from barograph.workspace import LastDone, age_seconds, drop_folder, listed
 
 
 def start_live_table(
@@ -21,6 +19,7 @@ def start_live_table(
     root: str,
     trigger: Trigger = Trigger(every=5),
     versions: int = 3,
+    keep_seconds: float = 600,
     partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep a temporary view ``name`` equal to the whole result of an aggregation.
@@ -29,36 +28,39 @@ def start_live_table(
     so state is never dropped. The tasks write the table as files and the view
     turns to them when they are all there; no row passes through the driver, as
     all of them would with Spark's memory sink.
-    Folders are used in turn: a reader has ``versions - 1`` triggers to finish.
+    Each version has a folder of its own. It goes once ``versions`` newer ones are
+    there and it was replaced ``keep_seconds`` ago: so long a reader may take.
 
     Where the key space keeps growing, use ``ResultCache.start(..., view=name)``.
     """
     spark = stats.sparkSession
     checkpoint = f"{root}/checkpoint"
     tables = f"{root}/table"
+    done = LastDone(spark, f"{root}/shown")
     require_checkpoint(spark, checkpoint, tables)
-    layout = T.StructType([*stats.schema.fields, T.StructField("batch_id", T.LongType())])
+
+    def folder(batch_id: int) -> str:
+        return f"{tables}/version={batch_id}"
 
     def show(batch_id: int | None) -> None:
         if batch_id is None:
-            table = spark.createDataFrame([], layout)
+            table = spark.createDataFrame([], stats.schema)
         else:
-            folder = f"{tables}/version={batch_id % versions}"
-            table = spark.read.schema(layout).parquet(folder)
-        table.drop("batch_id").createOrReplaceTempView(name)
+            table = spark.read.schema(stats.schema).parquet(folder(batch_id))
+        table.createOrReplaceTempView(name)
 
     def publish(table: DataFrame, batch_id: int) -> None:
-        folder = f"{tables}/version={batch_id % versions}"
-        table.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode(
-            "overwrite"
-        ).parquet(folder)
+        table.write.mode("overwrite").parquet(folder(batch_id))
+        done.mark(batch_id)
         show(batch_id)
+        numbers = sorted(int(x.rpartition("=")[2]) for x in listed(spark, f"{tables}/version=*"))
+        # A version was in use until the next one was written.
+        for old, following in zip(numbers, numbers[1:]):
+            if old <= batch_id - versions and age_seconds(spark, folder(following)) > keep_seconds:
+                drop_folder(spark, folder(old))
 
     if name not in [query.name for query in spark.streams.active]:
-        last = None
-        if path_exists(spark, tables):
-            last = spark.read.schema(layout).parquet(tables).agg(F.max("batch_id")).first()[0]
-        show(last)
+        show(done.last())
     writer = stats.writeStream.foreachBatch(publish).outputMode("complete")
     return start_stream(spark, writer, checkpoint, trigger, name, partitions)
 

@@ -4,8 +4,9 @@ Layout under one root folder::
 
     checkpoint/                            of the stream that fills the cache
     changelog/batch_id=N/window_date=D/    rows changed by micro-batch N
-    base/upto=N/window_date=D/             newest rows of batches 0..N (compacted)
-    manifest/                              one row per finished base
+    committed/N                            batch N is all there; readers see up to it
+    base/upto=N/window_date=D/             newest rows of a date from batches 0..N
+    manifest/                              per compaction and date, the base's N
 
 The checkpoint lives beside the changelog because its batch numbers are the
 versions: one without the other is of no use.
@@ -23,15 +24,16 @@ from pyspark.sql.streaming import StreamingQuery
 from barograph.functions.times import parse_day, year_bounds
 from barograph.operators.cache import cache_rows, latest_wins
 from barograph.operators.filters import in_year, on_day, on_sensor, on_walk
-from barograph.schema import CACHE, CACHE_KEY, layout
+from barograph.schema import CACHE, CACHE_KEY
 from barograph.settings import CacheFilter, Trigger
 from barograph.streaming.starting import require_checkpoint, spread_over_files, start_stream
-from barograph.workspace import path_exists
+from barograph.workspace import LastDone, drop_folder, listed, path_exists
 
 DATE = T.StructField("window_date", T.DateType())
 STORED = T.StructType([*CACHE.fields, DATE])
 LOGGED = T.StructType([*STORED.fields, T.StructField("batch_id", T.LongType())])
-MANIFEST = layout({"upto": "bigint"})
+MANIFEST = T.StructType([DATE, T.StructField("upto", T.LongType())])
+BASE = T.StructType([*STORED.fields, T.StructField("upto", T.LongType())])
 
 # The date follows from the window start, so it may join the key; as a key column
 # it lets filters on it pass through the view to the folders.
@@ -46,6 +48,7 @@ class ResultCache:
         self.changelog = f"{root}/changelog"
         self.base = f"{root}/base"
         self.manifest = f"{root}/manifest"
+        self.done = LastDone(spark, f"{root}/committed")
 
     def upsert(self, batch: DataFrame, batch_id: int, files_per_date: int | None = None) -> None:
         """Write the rows of one micro-batch under its number.
@@ -59,6 +62,7 @@ class ResultCache:
             rows = spread_over_files(rows, [F.col(DATE.name)], CACHE_KEY, files_per_date)
         folder = f"{self.changelog}/batch_id={batch_id}"
         rows.write.mode("overwrite").partitionBy(DATE.name).parquet(folder)
+        self.done.mark(max(batch_id, self.done.last() or 0))
 
     def start(
         self,
@@ -66,14 +70,15 @@ class ResultCache:
         trigger: Trigger = Trigger(every=10),
         name: str | None = None,
         view: str | None = None,
-        files_per_date: int | None = 16,
+        files_per_date: int | None = None,
         partitions: int | None = None,
     ) -> StreamingQuery:
         """Keep the cache up to date with a stream of window statistics.
 
-        Only windows that changed are written, per date by ``files_per_date``
-        tasks, so that a stream with thousands of state partitions does not leave
-        as many small files per trigger; ``None`` writes from each.
+        Only windows that changed are written, by all the stream's partitions, so
+        that a date with all the changes has as many writers as any. Where that
+        leaves too many small files, ``files_per_date`` first brings a date's
+        changes together on so many tasks.
 
         ``view`` names a temporary view of the newest rows, brought up to date
         after each batch: a live table whose state ends with the watermark and
@@ -83,34 +88,50 @@ class ResultCache:
 
         def on_batch(batch: DataFrame, batch_id: int) -> None:
             self.upsert(batch, batch_id, files_per_date)
-            if view:
-                self.rows().createOrReplaceTempView(view)
+            self.show(view)
 
-        if view:
-            self.rows().createOrReplaceTempView(view)
+        self.show(view)
         writer = cache_rows(stats).writeStream.foreachBatch(on_batch).outputMode("update")
         return start_stream(self.spark, writer, self.checkpoint, trigger, name, partitions)
 
-    def compacted_through(self) -> int | None:
-        """The last batch that the newest base covers."""
+    def committed(self) -> int | None:
+        """The last batch whose rows are all there."""
+        return self.done.last()
+
+    def bases(self) -> dict[dt.date, int]:
+        """Per date the last batch that its newest base covers; as many entries as dates."""
         if not path_exists(self.spark, self.manifest):
-            return None
-        return self.spark.read.schema(MANIFEST).json(self.manifest).agg(F.max("upto")).first()[0]
+            return {}
+        rows = self.spark.read.schema(MANIFEST).json(self.manifest)
+        newest = rows.groupBy(DATE.name).agg(F.max("upto").alias("upto")).collect()
+        return {row[DATE.name]: row["upto"] for row in newest}
+
+    def compacted_through(self) -> int | None:
+        """The last batch that any base covers."""
+        return max(self.bases().values(), default=None)
 
     def versions(self, through: int | None = None) -> DataFrame:
-        """All stored versions of rows: the newest base and the batches after it."""
-        upto = self.compacted_through()
-        if path_exists(self.spark, self.changelog):
-            rows = self.spark.read.schema(LOGGED).parquet(self.changelog)
-        else:
-            rows = self.spark.createDataFrame([], LOGGED)
-        if through is not None:
-            rows = rows.filter(F.col("batch_id") <= through)
-        if upto is None:
+        """All stored versions of rows: of each date the newest base and the batches after it.
+
+        Batches that are not committed, such as one a lost driver left half
+        written, are not read.
+        """
+        last = self.committed()
+        if last is None:
+            return self.spark.createDataFrame([], LOGGED)
+        through = last if through is None else min(through, last)
+        bases = self.bases()
+        rows = self.spark.read.schema(LOGGED).parquet(self.changelog)
+        rows = rows.filter(F.col("batch_id") <= through)
+        if not bases:
             return rows
-        base = self.spark.read.schema(STORED).parquet(f"{self.base}/upto={upto}")
-        base = base.withColumn("batch_id", F.lit(upto).cast("bigint"))
-        return base.unionByName(rows.filter(F.col("batch_id") > upto))
+        date = F.col(DATE.name)
+        entries = [F.lit(x) for entry in bases.items() for x in entry]
+        upto = F.element_at(F.create_map(*entries), date)
+        # Both are conditions on folder names, so folders that don't count are not opened.
+        rows = rows.filter(upto.isNull() | (F.col("batch_id") > upto))
+        base = self.spark.read.schema(BASE).parquet(self.base).filter(F.col("upto") == upto)
+        return base.withColumnRenamed("upto", "batch_id").unionByName(rows)
 
     def stored(self, through: int | None = None) -> DataFrame:
         return latest_wins(self.versions(through), VIEW_KEY).select(*STORED.fieldNames())
@@ -119,6 +140,11 @@ class ResultCache:
         """The cache: one row per walk, device, sensor and window, its newest version."""
         return self.stored().select(*CACHE.fieldNames())
 
+    def show(self, view: str | None) -> None:
+        """Turn a temporary view to the newest rows, as after a batch or a compaction."""
+        if view:
+            self.rows().createOrReplaceTempView(view)
+
     def read(self, wanted: CacheFilter, day: str | dt.date | None = None) -> DataFrame:
         """Rows of one walk and sensor in a year, or on one day of it, in time order.
 
@@ -135,49 +161,82 @@ class ResultCache:
         shown = [name for name in CACHE.fieldNames() if name not in ("device_id", "updated_at")]
         return rows.select(*shown).orderBy("window_start")
 
-    def compact(self, through: int) -> None:
-        """Write the newest rows of batches up to ``through`` as a base.
+    def compact(self, through: int | None = None) -> None:
+        """Write the newest rows of the batches up to ``through`` as bases, date by date.
 
-        ``through`` must be a committed batch. Files are cut by ranges of date,
-        sensor, walk and time, so that a date with much of the data gets many
-        files and a read of one walk opens few. Readers take to the new base when
-        its manifest row is there; until then, and if this fails, the old one
-        stays in use.
+        ``through`` is the last committed batch by default and none after it can
+        be asked for. Only dates with rows changed since their base are written.
+        Files are cut by ranges of date, sensor, walk and time, so that a date
+        with much of the data gets many files and a read of one walk opens few.
+        Readers take to the new bases when their manifest rows are there; until
+        then, and if this fails, the old ones stay in use.
         """
-        done = self.compacted_through()
-        if done is not None and through <= done:
+        last = self.committed()
+        if through is None:
+            through = last
+        if through is None:
+            return
+        if last is None or through > last:
+            raise ValueError(f"batch {through} is not committed; the last that is: {last}")
+        bases = self.bases()
+        changed = [date for date, batch in self._changes(through) if batch > bases.get(date, -1)]
+        if not changed:
             return
-        rows = self.stored(through).repartitionByRange(*FILE_ORDER)
+        rows = self.stored(through).filter(F.col(DATE.name).isin(changed))
         (
-            rows.sortWithinPartitions(*FILE_ORDER)
+            rows.repartitionByRange(*FILE_ORDER)
+            .sortWithinPartitions(*FILE_ORDER)
             .write.mode("overwrite")
             .partitionBy(DATE.name)
             .parquet(f"{self.base}/upto={through}")
         )
-        finished = self.spark.range(1).select(F.lit(through).cast("bigint").alias("upto"))
-        finished.write.mode("append").json(self.manifest)
+        finished = self.spark.createDataFrame([(date, through) for date in changed], MANIFEST)
+        finished.coalesce(1).write.mode("append").json(self.manifest)
+
+    def _changes(self, through: int) -> list[tuple[dt.date, int]]:
+        """Per date the newest batch up to ``through`` that changed it, by folder names."""
+        newest: dict[dt.date, int] = {}
+        for path in listed(self.spark, f"{self.changelog}/batch_id=*/{DATE.name}=*"):
+            batch, date = _folder(path)
+            if batch <= through:
+                newest[date] = max(batch, newest.get(date, -1))
+        return sorted(newest.items())
 
     def drop_compacted(self) -> list[int]:
-        """Delete the batch folders that the newest base covers; return their numbers.
+        """Delete batch folders that bases cover, and bases that newer ones replace.
 
-        Keeps the listing of the changelog short in a long run. Readers that took
-        the view before the compaction must have finished.
+        Returns the numbers of the batches that are wholly gone. Keeps the listing
+        of the changelog short in a long run. Readers that took the view before
+        the compaction must have finished.
         """
-        upto = self.compacted_through()
-        if upto is None:
+        bases = self.bases()
+        if not bases:
             return []
-        context = self.spark.sparkContext
-        root = context._jvm.org.apache.hadoop.fs.Path(self.changelog)
-        files = root.getFileSystem(context._jsc.hadoopConfiguration())
-        folders = {
-            int(status.getPath().getName().removeprefix("batch_id=")): status.getPath()
-            for status in files.listStatus(root)
-            if status.getPath().getName().startswith("batch_id=")
-        }
-        covered = sorted(number for number in folders if number <= upto)
-        for number in covered:
-            files.delete(folders[number], True)
-        return covered
+        left: dict[int, int] = {}
+        for path in listed(self.spark, f"{self.changelog}/batch_id=*/{DATE.name}=*"):
+            batch, date = _folder(path)
+            if batch <= bases.get(date, -1):
+                drop_folder(self.spark, path)
+            else:
+                left[batch] = left.get(batch, 0) + 1
+        for path in listed(self.spark, f"{self.base}/upto=*/{DATE.name}=*"):
+            upto, date = _folder(path)
+            if upto < bases.get(date, -1):
+                drop_folder(self.spark, path)
+        covered = max(bases.values())
+        gone = []
+        for path in listed(self.spark, f"{self.changelog}/batch_id=*"):
+            batch = int(path.rpartition("=")[2])
+            if batch <= covered and batch not in left:
+                drop_folder(self.spark, path)
+                gone.append(batch)
+        return sorted(gone)
+
+
+def _folder(path: str) -> tuple[int, dt.date]:
+    """Number and date of a folder ``.../name=N/window_date=D``."""
+    above, _, date = path.rpartition(f"/{DATE.name}=")
+    return int(above.rpartition("=")[2]), dt.date.fromisoformat(date)
 
 
 def connector_upsert(connector: str, **options: str):

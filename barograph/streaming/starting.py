@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from barograph.session import scoped_conf
 from barograph.settings import Trigger
-from barograph.workspace import path_exists
+from barograph.workspace import listed, path_exists
 
 # Window state in RocksDB, and per batch only its changes sent to the checkpoint.
 STATE = {
@@ -46,15 +46,22 @@ def start_stream(
 
 
 def require_checkpoint(spark: SparkSession, checkpoint: str, output: str) -> None:
-    """Refuse to fill an existing output from a fresh checkpoint.
+    """Refuse to go on where output and checkpoint don't belong together.
 
-    Batch numbers would start at 0 again, and output that remembers higher ones
-    would skip or hide the new batches.
+    From a fresh checkpoint batch numbers would start at 0 again, and output
+    that remembers higher ones would skip or hide the new batches. With the
+    output gone, a checkpoint that has commits would go on behind the lost rows.
     """
-    if path_exists(spark, output) and not path_exists(spark, f"{checkpoint}/metadata"):
+    if path_exists(spark, output):
+        if not path_exists(spark, f"{checkpoint}/metadata"):
+            raise RuntimeError(
+                f"{output} holds batches, but its checkpoint {checkpoint} is gone: "
+                "restore the checkpoint or start with a new output folder"
+            )
+    elif listed(spark, f"{checkpoint}/commits/[0-9]*"):
         raise RuntimeError(
-            f"{output} holds batches, but its checkpoint {checkpoint} is gone: "
-            "restore the checkpoint or start with a new output folder"
+            f"checkpoint {checkpoint} has committed batches, but their output {output} is gone: "
+            "restore the output or start with a new checkpoint"
         )
 
 

@@ -37,10 +37,10 @@ def spark(tmp_path_factory):
 
 def envelope(
     second: float, pressure: float | None = 970.0, walk: str = "w1", elapsed: float = 0.0,
-    device: str = "phone1", sensor: str = "barometer",
+    device: str = "logger-a", sensor: str = "barometer",
 ) -> str:
     return json.dumps({
-        "userId": "user1",
+        "userId": "walker-7",
         "deviceId": device,
         "walkId": walk,
         "sensorType": sensor,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,14 @@ from pyspark.sql import functions as F
 from barograph.operators.cache import cache_rows, latest_wins
 from barograph.operators.envelopes import parse_messages
 from barograph.operators.filters import complete_rows, has_no_data, in_year, on_day
-from barograph.operators.reports import by_start, day_series, rows_per_day, time_range
+from barograph.operators.reports import (
+    by_start,
+    day_series,
+    preview,
+    rows_per_day,
+    thinned,
+    time_range,
+)
 from barograph.operators.windows import window_stats
 from barograph.plans.jobs import CacheJob, report_cache, run_cache_job
 from barograph.schema import CACHE, CACHE_KEY
@@ -96,6 +104,69 @@ def test_compaction_keeps_the_view(spark, cache, files):
     assert ("b", 86400, 2, 8.0) in shown(cache.rows())
 
 
+def test_only_committed_batches_count(spark, cache):
+    cache.compact()
+    assert cache.compacted_through() is None
+    cache.upsert(rows(spark, ("a", 0, 1, 1.0)), 0)
+    half = rows(spark, ("a", 0, 9, 9.0)).withColumn("window_date", F.to_date("window_start"))
+    half.write.partitionBy("window_date").parquet(f"{cache.changelog}/batch_id=1")
+    assert shown(cache.rows()) == [("a", 0, 1, 1.0)]
+    with pytest.raises(ValueError, match="not committed"):
+        cache.compact(1)
+    cache.compact()
+    assert cache.compacted_through() == 0
+    cache.upsert(rows(spark, ("a", 0, 2, 2.0)), 1)
+    assert shown(cache.rows()) == [("a", 0, 2, 2.0)]
+
+
+def test_compaction_of_an_idle_running_stream_loses_nothing(spark, bus, cache):
+    bus.send([envelope(0, 1.0), envelope(1, 2.0)])
+    query = cache.start(stats(spark, bus), Trigger(every=1))
+    try:
+        query.processAllAvailable()
+        time.sleep(12)  # idle: progress names a batch that has not run
+        cache.compact()
+        bus.send([envelope(2, 3.0), envelope(3, 4.0)])
+        query.processAllAvailable()
+        cache.compact()
+        cache.drop_compacted()
+    finally:
+        query.stop()
+    batch = cache_rows(window_stats(parse_messages(replay_batch(spark, bus.path))))
+    assert settled(batch).exceptAll(settled(cache.rows())).isEmpty()
+    assert cache.rows().count() == batch.count()
+
+
+def test_compaction_writes_changed_dates_only_and_drops_old_bases(spark, cache):
+    cache.upsert(rows(spark, ("a", 0, 1, 1.0), ("b", 86400, 1, 1.0)), 0)
+    cache.compact()
+    cache.upsert(rows(spark, ("b", 86400, 2, 2.0)), 1)
+    cache.compact()
+    base = Path(cache.base)
+    assert [p.name for p in (base / "upto=1").glob("window_date=*")] == ["window_date=2026-06-01"]
+    expected = shown(cache.rows())
+    assert cache.drop_compacted() == [0, 1]
+    assert sorted(str(p.relative_to(base)) for p in base.glob("upto=*/window_date=*")) == [
+        "upto=0/window_date=2026-05-31", "upto=1/window_date=2026-06-01",
+    ]
+    assert shown(cache.rows()) == expected == [("a", 0, 1, 1.0), ("b", 86400, 2, 2.0)]
+
+
+def test_a_date_with_all_rows_is_written_by_all_partitions(spark, bus, cache):
+    bus.send([envelope(second, walk=f"w{second}") for second in range(0, 600, 5)])
+    cache.start(stats(spark, bus), NOW).awaitTermination()
+    files = list(Path(cache.changelog).glob("batch_id=*/window_date=*/*.parquet"))
+    assert len(files) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_lost_changelog_is_noticed(spark, bus, cache):
+    bus.send([envelope(0)])
+    cache.start(stats(spark, bus), NOW).awaitTermination()
+    Path(cache.changelog).rename(Path(cache.changelog + "-gone"))
+    with pytest.raises(RuntimeError, match="output"):
+        cache.start(stats(spark, bus), NOW)
+
+
 def test_compacted_batches_can_go(spark, cache):
     assert cache.drop_compacted() == []
     for batch_id in range(4):
@@ -259,6 +330,36 @@ def test_connector_upsert_appends_through_the_connector(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "store")).count() == 2
 
 
+def test_cache_job_for_long(spark, bus, tmp_path):
+    bus.send([envelope(0), envelope(1)])
+    states = []
+    job = CacheJob(
+        str(tmp_path / "job"), WindowSpec(), Trigger(every=1), run_seconds=8, name="long_job",
+        view="long_view", partitions=2, files_per_date=1, compact_every=3, report=states.append,
+    )
+    report = run_cache_job(
+        replay_stream(spark, bus.path), job, CacheFilter("w1", "barometer", 2026)
+    )
+    assert report.rows.count() == spark.table("long_view").count() == 2 and report.day is None
+    assert states and {state["name"] for state in states} == {"long_job"}
+    assert ResultCache(spark, job.root).compacted_through() is not None
+
+
+def test_thinned_series_count_every_row(spark, capsys):
+    frame = rows(spark, *[("a", 10 * n, n % 3 + 1, float(n)) for n in range(100)])
+    series = thinned(day_series(frame, "2026-05-31"), 7).collect()
+    assert len(series) == 7 and sum(r.measurement_count for r in series) == 199
+    total = sum(r.avg_pressure_hpa * r.measurement_count for r in series)
+    assert round(total, 6) == sum(n * (n % 3 + 1) for n in range(100))
+    assert (series[0].min_pressure_hpa, series[-1].max_pressure_hpa) == (0.0, 99.0)
+    assert [r.window_start for r in series] == sorted(r.window_start for r in series)
+    assert thinned(frame.limit(0), 5).count() == 0 and thinned(frame, 1).count() == 1
+    with pytest.raises(ValueError):
+        thinned(frame, 0)
+    preview(frame, 1)
+    assert "measurement_count" in capsys.readouterr().out
+
+
 def test_filters_and_reports(spark):
     frame = rows(
         spark, ("a", 0, 1, 1.0), ("a", 3600 * 14 - 1, 1, None), ("a", 3600 * 14, 1, float("nan"))

@@ -18,6 +18,7 @@ from barograph.operators.textstats import (
     text_totals,
 )
 from barograph.plans.jobs import count_text, send_sensor_log
+from barograph.settings import BusOptions
 from barograph.sources.files import sensor_log, text_lines
 from barograph.sources.messages import replay_batch
 
@@ -121,10 +122,12 @@ def test_a_cell_that_is_no_number(spark, tmp_path):
 def test_log_to_replay_messages(spark, tmp_path):
     (tmp_path / "log.csv").write_text(LOG)
     bus = str(tmp_path / "bus")
-    args = (spark, str(tmp_path / "log.csv"), bus, "u", "d", "w", "barometer", 1.78e9)
+    args = (spark, str(tmp_path / "log.csv"), bus, "u", "d", "w", "barometer", 1.78e9, "own.topic")
     send_sensor_log(*args)
     rows = parse_messages(replay_batch(spark, bus)).orderBy("timeSeconds")
     shown = rows.select("walkId", "pressureHpa", F.unix_seconds("eventTime")).collect()
     assert [tuple(r) for r in shown] == [
         ("w", 970.25, 1780000000), ("w", 970.0, 1780000001), ("w", 971.0, 1780000002),
     ]
+    with pytest.raises(RuntimeError, match="connector"):
+        send_sensor_log(*args[:2], None, *args[3:], bus=BusOptions("host:1", "own.topic"))

@@ -24,8 +24,8 @@ def parsed(spark, bus, *values):
 
 def test_complete_envelope(spark, bus):
     (row,) = parsed(spark, bus, envelope(0.75, 970.5, elapsed=1.25))
-    assert row.messageKey == "w1" and row.walkId == "w1" and row.userId == "user1"
-    assert row.deviceId == "phone1" and row.sensorType == "barometer"
+    assert row.messageKey == "w1" and row.walkId == "w1" and row.userId == "walker-7"
+    assert row.deviceId == "logger-a" and row.sensorType == "barometer"
     assert row.timeSeconds == 1.25 and row.pressureHpa == 970.5
     assert spark.range(1).select(
         event_time(F.lit(START + 0.75)).cast("string").alias("t")
@@ -51,7 +51,7 @@ def test_bad_fields_spoil_only_themselves(spark, bus):
         bus,
         good.replace(f'"timestamp": {START}', '"timestamp": "x"'),
         good.replace("970.0", '"970.5"'),
-        good.replace('"user1"', "7"),
+        good.replace('"walker-7"', "7"),
         good[: good.index('"data"')] + '"data": 5}',
         good.replace('"userId"', '"userid"').replace("{", '{"more": [1], ', 1),
         good.replace("970.0", "NaN"),

@@ -10,7 +10,7 @@ from barograph.operators.bronze import bad_rows
 from barograph.operators.envelopes import parse_messages
 from barograph.operators.reports import band_series, local_frame, newest
 from barograph.operators.windows import window_stats
-from barograph.plans.jobs import LiveJob, start_live_job
+from barograph.plans.jobs import LiveJob, chart_feed, start_live_job
 from barograph.session import build_session, health_check, pin_utc, scoped_conf
 from barograph.settings import BusOptions, Trigger
 from barograph.sources.files import bronze_table
@@ -133,7 +133,7 @@ def test_band_and_poll(spark, bus, tmp_path):
     start_live_table(
         stats_stream(spark, bus), "polled", str(tmp_path / "live"), NOW
     ).awaitTermination()
-    frames = poll(spark, "polled", lambda t: local_frame(band_series(t, 3)), rounds=2, period=0.01)
+    frames = poll(spark, "polled", lambda t: local_frame(band_series(t, 3), 3), rounds=2, period=0.01)
     assert [len(f) for f in frames] == [3, 3]
     assert list(frames[0]["windowStart"]) == sorted(frames[0]["windowStart"])
     assert list(frames[0]["measurementCount"]) == [3, 2, 2]
@@ -182,6 +182,66 @@ def test_bronze_goes_on_from_its_checkpoint_and_needs_it(spark, bus, tmp_path):
         lake(spark, bus, tmp_path)
 
 
+def test_outputs_that_are_gone_are_noticed(spark, bus, tmp_path):
+    fill(bus, [[0, 1]])
+    lake(spark, bus, tmp_path)
+    (tmp_path / "lake").rename(tmp_path / "lost")
+    with pytest.raises(RuntimeError, match="output"):
+        lake(spark, bus, tmp_path)
+    root = tmp_path / "live"
+    start_live_table(stats_stream(spark, bus), "gone_t", str(root), NOW).awaitTermination()
+    (root / "table").rename(tmp_path / "lost-too")
+    with pytest.raises(RuntimeError, match="output"):
+        start_live_table(stats_stream(spark, bus), "gone_t", str(root), NOW)
+
+
+def test_a_frame_of_the_live_table_outlives_triggers_and_old_versions_go(spark, bus, tmp_path):
+    root = tmp_path / "live"
+
+    def next_version(second, **options):
+        fill(bus, [[second]])
+        query = start_live_table(stats_stream(spark, bus), "held", str(root), NOW, **options)
+        query.awaitTermination()
+
+    next_version(0)
+    held = spark.table("held")
+    for second in range(1, 11):
+        next_version(second)
+    assert counts(held) == {-5: 1, 0: 1}
+    assert counts(spark.table("held")) == {-5: 5, 0: 10, 5: 6, 10: 1}
+    versions = len(list((root / "table").glob("version=*")))
+    assert versions >= 11
+    next_version(11, keep_seconds=0)
+    assert len(list((root / "table").glob("version=*"))) == 3
+
+
+def test_a_version_without_its_mark_is_not_shown(spark, bus, tmp_path):
+    fill(bus, [[0]])
+    root = tmp_path / "live"
+    start_live_table(stats_stream(spark, bus), "marked", str(root), NOW).awaitTermination()
+    shown = counts(spark.table("marked"))
+    spark.table("marked").limit(1).write.parquet(str(root / "table" / "version=99"))
+    spark.catalog.dropTempView("marked")
+    query = start_live_table(stats_stream(spark, bus), "marked", str(root), NOW)
+    assert counts(spark.table("marked")) == shown
+    query.awaitTermination()
+
+
+def test_chart_feed_gives_series_and_states(spark, bus, tmp_path):
+    fill(bus)
+    job = LiveJob(
+        "fed", str(tmp_path / "t"), str(tmp_path / "b"), str(tmp_path / "bc"),
+        table_trigger=NOW, bronze_trigger=NOW, partitions=2, files_per_folder=1,
+    )
+    queries = start_live_job(replay_stream(spark, bus.path), job)
+    for query in queries:
+        query.awaitTermination()
+    assert queries[0].recentProgress[0].stateOperators[0].numShufflePartitions == 2
+    ((series, states),) = chart_feed(spark, queries, "fed", last_n=3, rounds=5, period=0.01)
+    assert list(series["measurementCount"]) == [3, 2, 2]
+    assert [state["active"] for state in states] == [False, False]
+
+
 def test_live_job_runs_two_queries_over_one_source(spark, bus, tmp_path):
     fill(bus)
     job = LiveJob(

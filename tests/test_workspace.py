@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barograph.session import scoped_conf
 from barograph.streaming.starting import spread_over_files
-from barograph.workspace import fresh_folder, path_exists, shared_root
+from barograph.workspace import LastDone, drop_folder, fresh_folder, path_exists, shared_root
 
 
 def test_folders_lie_under_the_configured_root(spark):
@@ -38,10 +38,28 @@ def session(master):
 def test_only_a_local_master_may_do_without():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_root(session("yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(session("local-cluster[2,1,1024]"))
     local = session("local[2]")
     assert shared_root(local) == shared_root(local) == local.sparkContext.folder
 
 
+def test_own_folders_can_go(spark, tmp_path):
+    folder = fresh_folder(spark, "y")
+    spark.range(3).write.parquet(folder)
+    assert path_exists(spark, folder)
+    drop_folder(spark, folder)
+    assert not path_exists(spark, folder.removesuffix("/run"))
+
+
+def test_the_last_mark_counts(spark, tmp_path):
+    done = LastDone(spark, str(tmp_path / "marks"))
+    assert done.last() is None
+    for number in (0, 1, 10, 9):
+        done.mark(number)
+    assert done.last() == 10
+
+
 def test_path_exists(spark, tmp_path):
     assert not path_exists(spark, str(tmp_path / "none"))
     (tmp_path / "_hidden").mkdir()
