@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barograph.llm.chunks import in_portions
+from barograph.llm.chunks import CHUNKS_KEPT, in_portions
 from barograph.llm.tables import numbered, stored
 from barograph.llm.tokens import token_memory
 
@@ -133,7 +133,13 @@ def best_fit_plan(
 
 
 def pieces(
-    docs: DataFrame, path: str, end: int, most: int, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    path: str,
+    end: int,
+    most: int,
+    key: str = "doc_id",
+    text: str = "text",
+    chunks_kept: int = CHUNKS_KEPT,
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, row (tells equal ids apart).
 
@@ -144,7 +150,7 @@ def pieces(
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, last = token_memory(path), np.array([end], "<u4").tobytes()
+        memory, last = token_memory(path, chunks_kept), np.array([end], "<u4").tobytes()
         for batch in batches:
             for begin, run in in_portions(batch["_text"]):
                 of, piece, start, length, crc = [], [], [], [], []
@@ -179,6 +185,7 @@ def packed(
     score: Score = Score(),
     key: str = "doc_id",
     text: str = "text",
+    chunks_kept: int = CHUNKS_KEPT,
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
@@ -190,7 +197,7 @@ def packed(
     length; what is sent out is the plan.
     """
     longest = min(capacity.tokens, int(capacity.cost**0.5))
-    kept = stored(pieces(docs, path, end, longest, key, text), "pieces")
+    kept = stored(pieces(docs, path, end, longest, key, text, chunks_kept), "pieces")
     counts = {row[0]: row[1] for row in kept.groupBy("length").count().collect()}
     plan = best_fit_plan(counts, capacity, score)
     ranked = numbered(kept, ["length"], ["doc_id", "piece", "ids_crc32"], "number")

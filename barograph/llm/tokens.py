@@ -8,16 +8,18 @@ from itertools import compress
 
 import numpy as np
 
-from barograph.llm.chunks import ChunkMemory
+from barograph.llm.chunks import CHUNKS_KEPT, ChunkMemory
 
 #: So many new chunks go to the tokenizer as one text; it is slower on longer ones.
 RUN = 64
 
 
 @lru_cache(maxsize=1)
-def token_memory(path: str) -> ChunkMemory:
+def token_memory(path: str, kept: int = CHUNKS_KEPT) -> ChunkMemory:
     """Ids as little-endian unsigned 32-bit integers; one memory per worker process.
 
+    A worker keeps it between tasks, and a chunk takes some 200 bytes: ``kept`` is
+    the place to save memory where workers do other work too.
     ``path`` names a byte-level BPE file whose words take one blank before them.
     Chunks that begin with a blank and end in no white space stand side by side
     in one text as they do in a document, so many go to the tokenizer at once;
@@ -55,4 +57,4 @@ def token_memory(path: str) -> ChunkMemory:
         found = iter(coded)
         return [next(found) if b else next(rest).tobytes() for b in beside]
 
-    return ChunkMemory(encode)
+    return ChunkMemory(encode, kept)
