@@ -41,9 +41,12 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences of 1024 tokens."""
     ship_code(spark)
-    return packing.packed(docs, BYTE_BPE, 2)
+    return packing.packed(docs, BYTE_BPE, 2, chunks_kept=CHUNKS_KEPT)
 
 
+#: The stages share Python workers, so the tokenizer's memory there is small.
+CHUNKS_KEPT = 250_000
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup),
