@@ -39,3 +39,16 @@ def leaf_columns(layout: T.StructType, path: str = "") -> dict[str, Column]:
         else:
             leaves[part.name] = F.col(path + part.name)
     return leaves
+
+
+def pruned(layout: T.StructType, names: set[str]) -> T.StructType:
+    """The layout with the named leaves alone, and the structs that hold them."""
+    kept = []
+    for part in layout.fields:
+        if isinstance(part.dataType, T.StructType):
+            inner = pruned(part.dataType, names)
+            if inner.fields:
+                kept.append(T.StructField(part.name, inner, part.nullable))
+        elif part.name in names:
+            kept.append(part)
+    return T.StructType(kept)

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barograph.functions.payloads import decode_json, json_text, leaf_columns, text_of, utf8
+from barograph.functions.payloads import (
+    decode_json,
+    json_text,
+    leaf_columns,
+    pruned,
+    text_of,
+    utf8,
+)
 from barograph.functions.times import event_time
 from barograph.schema import ENVELOPE
 
@@ -62,11 +71,21 @@ def as_bus_rows(
     )
 
 
-def parse_messages(messages: DataFrame, precision: str = "seconds") -> DataFrame:
+MEASURED = (
+    "userId", "deviceId", "walkId", "sensorType", "eventTime", "timeSeconds", "pressureHpa",
+)
+#: What window statistics need of a message.
+FOR_STATS = ("deviceId", "walkId", "sensorType", "eventTime", "pressureHpa")
+
+
+def parse_messages(
+    messages: DataFrame, precision: str = "seconds", wanted: Sequence[str] = MEASURED
+) -> DataFrame:
     """Bus rows as typed measurements, one row per message.
 
     Nothing is dropped: a message that cannot be parsed keeps its text in
-    ``jsonValue`` and has NULL measurements.
+    ``jsonValue`` and has NULL measurements. Fields that are not ``wanted`` are
+    not parsed.
 
     The JSON is unpacked with ``inline``, not with field accesses on a struct
     column: filters on fields, such as the one a time window puts on its time,
@@ -81,10 +100,12 @@ def parse_messages(messages: DataFrame, precision: str = "seconds") -> DataFrame
         text_of(F.col("key")).alias("messageKey"),
         text_of(F.col("value")).alias("jsonValue"),
     )
-    unpacked = raw.select("*", F.inline(F.array(decode_json(F.col("jsonValue")))))
-    fields = leaf_columns(ENVELOPE)
-    fields["eventTime"] = event_time(fields["timestamp"], precision)
-    order = [
-        "userId", "deviceId", "walkId", "sensorType", "eventTime", "timeSeconds", "pressureHpa",
-    ]
-    return unpacked.select(*raw.columns, *[fields[name].alias(name) for name in order])
+    needed = {"timestamp" if name == "eventTime" else name for name in wanted}
+    own = pruned(ENVELOPE, needed)
+    unpacked = raw.select("*", F.inline(F.array(decode_json(F.col("jsonValue"), own))))
+    fields = leaf_columns(own)
+    if "timestamp" in fields:
+        fields["eventTime"] = event_time(fields["timestamp"], precision)
+    return unpacked.select(
+        *raw.columns, *[fields[name].alias(name) for name in MEASURED if name in wanted]
+    )

@@ -19,7 +19,7 @@ from barograph.functions.payloads import decode_json
 from barograph.functions.times import epoch_seconds, epoch_text, event_time, parse_day
 from barograph.operators.bronze import bad_rows
 from barograph.operators.cache import cache_rows
-from barograph.operators.envelopes import as_bus_rows, parse_messages, to_envelopes
+from barograph.operators.envelopes import FOR_STATS, as_bus_rows, parse_messages, to_envelopes
 from barograph.operators.filters import complete_rows, in_year, on_day, on_sensor, on_walk
 from barograph.operators.reports import (
     band_series,
@@ -162,7 +162,8 @@ def tumbling_stats_1h(spark, sf_dir):
 @query
 def message_window_stats(spark, sf_dir):
     """The flagship: events to JSON messages, parsed again, window statistics."""
-    return window_stats(parse_messages(messages(events(spark, sf_dir))), LONG)
+    parsed = parse_messages(messages(events(spark, sf_dir)), wanted=FOR_STATS)
+    return window_stats(parsed, LONG)
 
 
 @query
@@ -342,12 +343,16 @@ def bus_parts(
         yield number
 
 
+def bus_measurements(spark: SparkSession, bus: str) -> DataFrame:
+    return parse_messages(replay_stream(spark, bus), wanted=FOR_STATS)
+
+
 def filled_live_table(spark: SparkSession, sf_dir: str) -> str:
     """In three parts, the query started anew for each."""
     folder = fresh_folder(spark, "live")
     name = f"live_{uuid.uuid4().hex}"
     for _ in bus_parts(spark, sf_dir, f"{folder}/bus"):
-        stats = window_stats(parse_messages(replay_stream(spark, f"{folder}/bus")), LONG)
+        stats = window_stats(bus_measurements(spark, f"{folder}/bus"), LONG)
         start_live_table(stats, name, f"{folder}/live", NOW).awaitTermination()
     return name
 
@@ -423,7 +428,7 @@ def fill_cache(
         spark, sf_dir, f"{folder}/bus", parts, newest_first, type_as_walk=type_as_walk
     )
     for number in sent:
-        stats = window_stats(parse_messages(replay_stream(spark, f"{folder}/bus")), spec)
+        stats = window_stats(bus_measurements(spark, f"{folder}/bus"), spec)
         cache.start(stats, NOW).awaitTermination()
         if number == compact_after:
             cache.compact()
@@ -450,7 +455,7 @@ def compacted_live_cache(spark, sf_dir):
     try:
         for _ in bus_parts(spark, sf_dir, f"{folder}/bus"):
             if query is None:
-                stats = window_stats(parse_messages(replay_stream(spark, f"{folder}/bus")), LONG)
+                stats = window_stats(bus_measurements(spark, f"{folder}/bus"), LONG)
                 query = cache.start(stats, Trigger(every=1))
             query.processAllAvailable()
             cache.compact()

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from barograph.operators.envelopes import as_bus_rows, parse_messages, to_envelopes
+from barograph.operators.envelopes import FOR_STATS, as_bus_rows, parse_messages, to_envelopes
 from barograph.operators.reports import (
     band_series,
     day_series,
@@ -48,11 +48,11 @@ class LiveJob:
 
 
 def start_live_job(messages: DataFrame, job: LiveJob) -> list[StreamingQuery]:
-    """Two queries over one parsed stream; each reads the source for itself."""
+    """Two queries over one stream; each reads the source and parses what it needs."""
     pin_utc(messages.sparkSession)
     measured = parse_messages(messages)
     table = start_live_table(
-        window_stats(measured, job.windows),
+        window_stats(parse_messages(messages, wanted=FOR_STATS), job.windows),
         job.table,
         job.table_root,
         job.table_trigger,
@@ -134,7 +134,7 @@ def run_cache_job(
     pin_utc(spark)
     cache = ResultCache(spark, job.root)
     query = cache.start(
-        window_stats(parse_messages(messages), job.windows),
+        window_stats(parse_messages(messages, wanted=FOR_STATS), job.windows),
         job.trigger,
         name=job.name,
         view=job.view,

@@ -26,6 +26,7 @@ from barograph.plans.jobs import CacheJob, report_cache, run_cache_job
 from barograph.schema import CACHE, CACHE_KEY
 from barograph.settings import CacheFilter, Trigger, WindowSpec
 from barograph.sources.messages import replay_batch, replay_stream
+from barograph.sources.tables import connector_table
 from barograph.streaming.resultcache import ResultCache, connector_upsert
 
 NOW = Trigger()
@@ -327,7 +328,7 @@ def test_connector_upsert_appends_through_the_connector(spark, tmp_path):
     files = len(list((tmp_path / "store").glob("part-*")))
     write(rows(spark), 2)
     assert len(list((tmp_path / "store").glob("part-*"))) == files
-    assert spark.read.parquet(str(tmp_path / "store")).count() == 2
+    assert connector_table(spark, "parquet", path=str(tmp_path / "store")).count() == 2
 
 
 def test_cache_job_for_long(spark, bus, tmp_path):

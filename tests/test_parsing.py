@@ -11,7 +11,12 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from barograph.functions.times import epoch_text, event_time, parse_day, year_bounds
-from barograph.operators.envelopes import as_bus_rows, parse_messages, to_envelopes
+from barograph.operators.envelopes import (
+    FOR_STATS,
+    as_bus_rows,
+    parse_messages,
+    to_envelopes,
+)
 from barograph.sources.messages import replay_batch
 
 UTC = dt.timezone.utc
@@ -144,3 +149,14 @@ def test_json_is_parsed_once_under_a_filter(spark, bus):
 def test_missing_column_is_an_analysis_error(spark):
     with pytest.raises((AnalysisException, PySparkException)):
         parse_messages(spark.range(1)).collect()
+
+
+def test_only_wanted_fields_are_parsed(spark, bus):
+    bus.send([envelope(0), "bad", None])
+    rows = replay_batch(spark, bus.path)
+    lean = parse_messages(rows, wanted=FOR_STATS)
+    full = parse_messages(rows)
+    assert [c for c in full.columns if c not in lean.columns] == ["userId", "timeSeconds"]
+    assert full.select(*lean.columns).exceptAll(lean).isEmpty()
+    plan = lean._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1 and "userId" not in plan and "timeSeconds" not in plan
