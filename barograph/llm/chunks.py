@@ -20,7 +20,7 @@ _CUT = regex.compile(r"(?<=\S) ")
 
 #: Chunks remembered from one batch to the next; beyond, the older half stays, in which
 #: the common ones are.
-CHUNKS_KEPT = 1_200_000
+CHUNKS_KEPT = 400_000
 
 
 def chunk_keys(text: str) -> list[Hashable]:
