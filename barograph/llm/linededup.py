@@ -267,7 +267,8 @@ def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
         return np.array(root)
     times = Counter(chain.from_iterable(sets))
     rank = {s: n for n, s in enumerate(sorted(times, key=lambda s: (times[s], s)))}
-    seen: dict[int, list[int]] = {}
+    # Lines by shingle and component, so that those joined already are passed over together.
+    seen: dict[int, dict[int, list[int]]] = {}
     for k, own in enumerate(sets):
         rarest = sorted(map(rank.__getitem__, own))
         rarest = rarest[: len(own) - ceil(least * len(own) - 1e-9) + 1]
@@ -275,9 +276,14 @@ def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
         # single component so far, there is no pair left to look for.
         compare(k, range(max(0, k - 1), k))
         if len(members) - (len(lines) - k - 1) > 1:
-            compare(k, sorted({j for s in rarest for j in seen.get(s, ()) if root[j] != root[k]}))
+            others: set[int] = set()
+            for s in rarest:
+                for first, own_lines in seen.get(s, {}).items():
+                    if root[first] != root[k]:
+                        others.update(own_lines)
+            compare(k, sorted(others))
         for s in rarest:
-            seen.setdefault(s, []).append(k)
+            seen.setdefault(s, {}).setdefault(root[k], []).append(k)
     return np.array(root)
 
 
