@@ -15,7 +15,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-_DOUBLE = regex.compile(r"\s ")
+#: White space, in an engine that scans fast, before a blank; some controls more than needed.
+_DOUBLE = (
+    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
+    r"\x{205f}\x{3000}] "
+)
 _CUT = regex.compile(r"(?<=\S) ")
 
 #: Chunks remembered from one batch to the next; beyond, the older half stays, in which
@@ -25,7 +29,7 @@ CHUNKS_KEPT = 400_000
 
 def chunk_keys(text: str) -> list[Hashable]:
     """Keys of the chunks in order; the first, which has no blank before it, in a tuple."""
-    parts = text.split(" ") if _DOUBLE.search(text) is None else _CUT.split(text)
+    parts = _CUT.split(text)
     return [(parts[0],), *parts[1:]]
 
 
@@ -61,13 +65,16 @@ class ChunkMemory:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text. Repeated chunks are found by Arrow and looked up once per call."""
         self.known = bounded(self.known, self.kept)
-        plain = [k for k, text in enumerate(texts) if _DOUBLE.search(text) is None]
+        column = pa.array(texts, pa.large_string())
+        double = pc.match_substring_regex(column, _DOUBLE).to_numpy(zero_copy_only=False)
         out = [b""] * len(texts)
-        for k in set(range(len(texts))).difference(plain):
+        for k in np.flatnonzero(double).tolist():
             out[k] = b"".join(self._ids(chunk_keys(texts[k])))
+        # Without such places every blank is one that a word begins with.
+        plain = np.flatnonzero(~double).tolist()
         if not plain:
             return out
-        split = pc.split_pattern(pa.array([texts[k] for k in plain], pa.large_string()), " ")
+        split = pc.split_pattern(column.filter(pa.array(~double)), " ")
         begin = split.offsets.to_numpy()[:-1]
         chunks = split.flatten().dictionary_encode()
         names = chunks.dictionary.to_pylist()
