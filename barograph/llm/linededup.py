@@ -31,8 +31,9 @@ SIMILARITY = 0.8
 #: Bands of so many bins each: two lines at the least similarity share a bucket with
 #: probability 1 - (1 - 0.8**5)**14 = 0.996, lines alike in a tenth with 1.4e-4.
 BANDS, ROWS = 14, 5
-#: Lines of fewer words (headings, single cells, blank lines) are left alone.
-LEAST_WORDS = 5
+#: Lines of fewer characters stay where the caller gives no other number; at one, all lines
+#: count but blank ones. Those shorter than a shingle are compared as a whole.
+LEAST = SHINGLE
 #: Distinct lines of a bucket that meet in one task.
 TOGETHER = 2_000
 
@@ -45,8 +46,9 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint32(2**32 - 1)
 
 
-def considered(line: str) -> bool:
-    return len(line.split(None, LEAST_WORDS - 1)) >= LEAST_WORDS
+def considered(line: str, least: int = LEAST) -> bool:
+    """Whether a line has so many characters without the blanks around it."""
+    return len(line.strip()) >= least
 
 
 def line_key(line: str) -> int:
@@ -108,7 +110,7 @@ def band_keys(lines: list[str]) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _exploded(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _exploded(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
     """Occurrences of considered lines: doc_id, text_hash, position, line (digest)."""
     own = docs.select(
         F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("_t")
@@ -119,7 +121,7 @@ def _exploded(docs: DataFrame, key: str, text: str) -> DataFrame:
             of, position, line = [], [], []
             for k, body in enumerate(batch["_t"]):
                 for at, x in enumerate(body.as_py().split("\n")):
-                    if considered(x):
+                    if considered(x, least):
                         of.append(k)
                         position.append(at)
                         line.append(line_key(x))
@@ -138,13 +140,14 @@ def _exploded(docs: DataFrame, key: str, text: str) -> DataFrame:
     return own.mapInArrow(cut, f"doc_id {kind}, text_hash long, position int, line long")
 
 
-def _portions(texts: pa.Array, most: int = 2_000_000) -> Iterator[list[str]]:
-    """Distinct considered lines, about ``most`` characters at a time."""
+def _portions(texts: pa.Array, least: int, most: int = 2_000_000) -> Iterator[list[str]]:
+    """Distinct considered lines of a shingle or more, about ``most`` characters at a time."""
+    least = max(least, SHINGLE)
     lines: dict[str, None] = {}
     size = 0
     for body in texts:
         for x in (body.as_py() or "").split("\n"):
-            if considered(x) and (x := x.strip()) not in lines:
+            if len(x := x.strip()) >= least and x not in lines:
                 lines[x] = None
                 size += len(x)
                 if size >= most:
@@ -154,12 +157,12 @@ def _portions(texts: pa.Array, most: int = 2_000_000) -> Iterator[list[str]]:
         yield list(lines)
 
 
-def _buckets(docs: DataFrame, text: str) -> DataFrame:
+def _buckets(docs: DataFrame, text: str, least: int) -> DataFrame:
     """Rows (band key, line) of the considered lines."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lines in _portions(batch.column(0)):
+            for lines in _portions(batch.column(0), least):
                 keys = band_keys(lines)
                 own = np.repeat(np.array([line_key(x) for x in lines], np.int64), BANDS)
                 yield pa.RecordBatch.from_arrays(
@@ -169,12 +172,12 @@ def _buckets(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(text).mapInArrow(deal, "band long, line long")
 
 
-def _shared_buckets(docs: DataFrame, text: str) -> DataFrame:
+def _shared_buckets(docs: DataFrame, text: str, least: int) -> DataFrame:
     """Rows (band, line) of the buckets with two lines or more, each once.
 
     The rows pass in order of band and line, so no bucket is held.
     """
-    ordered = _buckets(docs, text).repartition("band").sortWithinPartitions("band", "line")
+    ordered = _buckets(docs, text, least).repartition("band").sortWithinPartitions("band", "line")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((0, 2), np.int64)  # the last row, and whether it was given out
@@ -210,13 +213,13 @@ def _filter_words(wanted: DataFrame) -> np.ndarray:
     return bitmap
 
 
-def _bodies(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
+def _bodies(docs: DataFrame, wanted: DataFrame, text: str, least: int) -> DataFrame:
     """line and body of the wanted lines."""
     bitmap = docs.sparkSession.sparkContext.broadcast(_filter_words(wanted))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lines in _portions(batch.column(0)):
+            for lines in _portions(batch.column(0), least):
                 own = np.array([line_key(x) for x in lines], np.int64)
                 bit = own % FILTER_BITS
                 word = bitmap.value[bit >> 6] >> (bit & 63).astype(np.uint64)
@@ -287,9 +290,11 @@ def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
     return np.array(root)
 
 
-def line_links(docs: DataFrame, text: str = "text", together: int = TOGETHER) -> DataFrame:
+def line_links(
+    docs: DataFrame, text: str = "text", together: int = TOGETHER, least: int = LEAST
+) -> DataFrame:
     """Links (a, b) of digests that join all lines found alike."""
-    dealt = stored(_shared_buckets(docs, text), "line-buckets")
+    dealt = stored(_shared_buckets(docs, text, least), "line-buckets")
     sizes = dealt.groupBy("band").agg(
         F.count("*").alias("size"),
         F.bit_xor(F.xxhash64("line")).alias("members"),
@@ -299,7 +304,7 @@ def line_links(docs: DataFrame, text: str = "text", together: int = TOGETHER) ->
     shared = sizes.groupBy("size", "members", "sum").agg(F.min("band").alias("band"))
     found = stored(dealt.join(shared.select("band", "size"), "band"), "line-looks")
     wanted = found.select("line").distinct()
-    bodies = stored(_bodies(docs, wanted, text), "line-bodies")
+    bodies = stored(_bodies(docs, wanted, text, least), "line-bodies")
     parts = split_groups(found.join(bodies, "line"), "line", "size", together)
     own = ["band", "part_a", "part_b"]
     ordered = (
@@ -335,12 +340,16 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[int
         yield now, lines, texts
 
 
-def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def removed_lines(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST
+) -> DataFrame:
     """Per document with lines to remove: doc_id, text_hash, positions (from 0)."""
-    occurrences = stored(_exploded(docs, key, text), "line-occurrences")
+    if least < 1:
+        raise ValueError("blank lines always stay: least is one or more")
+    occurrences = stored(_exploded(docs, key, text, least), "line-occurrences")
     place = F.struct("doc_id", "position", "text_hash")
     lines = occurrences.groupBy("line").agg(F.count("*").alias("times"), F.min(place).alias("first"))
-    found = components(line_links(docs, text))
+    found = components(line_links(docs, text, least=least))
     rooted = lines.join(found, lines["line"] == found["node"], "left").select(
         "line", "times", "first", F.coalesce("root", "line").alias("root")
     )
@@ -354,21 +363,26 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 
 def deduplicated(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", count: str | None = None
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    count: str | None = None,
+    least: int = LEAST,
 ) -> DataFrame:
     """The rows with one line of each component of alike lines, all other columns as they are.
 
     Lines are cut at line feeds and compared without the blanks around them.
     The occurrence that stays is the one with the smallest id (null first), then
-    position. Lines of fewer than ``LEAST_WORDS`` words stay. A document may be
-    left with an empty text. ``count`` names a column to add: the lines removed.
+    position. Blank lines stay, and lines of fewer than ``least`` characters; the
+    registered query and the pipeline leave none. Lines shorter than a shingle
+    are alike when they are equal. A document may be left with an empty text. ``count`` names a column to add: the lines removed.
     Null texts stay null, empty ones empty. Rows with equal id and text count as
     one document: what stays in one stays in each, what goes goes in each. An
     empty table gives no rows.
     """
     if count in docs.columns:
         raise ValueError(f"the rows have a column {count} already")
-    gone = removed_lines(docs, key, text).select(
+    gone = removed_lines(docs, key, text, least).select(
         F.col("doc_id").alias("_gone_id"),
         F.col("text_hash").alias("_gone_hash"),
         F.col("positions").alias("_gone"),

@@ -61,7 +61,7 @@ def op5_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_minhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without repeated and near-equal lines, and how many each lost."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return linededup.deduplicated(docs, count="removed")
+    return linededup.deduplicated(docs, count="removed", least=1)
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

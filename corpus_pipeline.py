@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of alike lines one stays; documents stay, even if no line of them does."""
     ship_code(spark)
-    return linededup.deduplicated(docs)
+    return linededup.deduplicated(docs, least=1)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

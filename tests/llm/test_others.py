@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from barograph.llm import hashtree, licenses, linededup, pii, vptree
+import corpus_pipeline
+from barograph.llm import hashtree, licenses, linededup, pii, queries, vptree
 from barograph.llm.components import components
 from barograph.llm.feistel import Permutation
 from barograph.llm.known_licenses import MIT
@@ -244,3 +245,20 @@ def test_large_buckets_are_split(spark):
     links = linededup.line_links(table, together=7)
     roots = {r.root for r in components(links).collect()}
     assert len(roots) == 1
+
+
+def test_lines_without_words_and_short_lines(spark, tmp_path):
+    # No blanks: one word each, alike in all but the last character. "Les." is shorter than a shingle.
+    han = "".join(chr(0x4E00 + n) for n in range(60))
+    rows = [(1, f"Les.\n{han}\n\nLes."), (2, f"{han}\n \nLes.\nNot."),
+            (3, f"{han[:-1]}x\nAnd ornd.\n| a | b |"), (4, "And ornd.\n Les. \n| a | b |\n\n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    wanted = [(1, f"Les.\n{han}\n", 1), (2, " \nNot.", 2), (3, "And ornd.\n| a | b |", 1),
+              (4, "\n", 3)]
+    assert as_tuples(queries.op6_minhash_lines(spark, str(tmp_path))) == wanted
+    assert as_tuples(corpus_pipeline.line_dedup(spark, docs, "")) == [x[:2] for x in wanted]
+    left = as_tuples(linededup.deduplicated(docs))
+    assert left[1] == (2, " \nLes.\nNot.") and left[3] == (4, " Les. \n\n")
+    with pytest.raises(ValueError):
+        linededup.deduplicated(docs, least=0)
