@@ -199,8 +199,11 @@ def nearest(
         .withColumn("size", F.size("v"))
     )
     points = stored(points, "points")
-    asked = own.filter(F.col("vec_id") % every == 0)
-    asked = stored(asked.withColumn("point", F.min("vec_id").over(Window.partitionBy("v"))), "asked")
+    # Aggregated before the shuffle and joined back, so that a vector with most of the queries
+    # is a hot side of a join, which adaptive execution splits.
+    asked = own.filter(F.col("vec_id") % every == 0).withColumn("print", F.xxhash64("v"))
+    first_ids = asked.groupBy("print", "v").agg(F.min("vec_id").alias("point"))
+    asked = stored(asked.join(first_ids, ["print", "v"]), "asked")
     distinct = asked.filter(F.col("vec_id") == F.col("point")).select(
         "point", "v", F.size("v").alias("size")
     )

@@ -13,7 +13,7 @@ from barograph.llm import hashtree, licenses, linededup, pii, queries, vptree
 from barograph.llm.components import components
 from barograph.llm.feistel import Permutation
 from barograph.llm.known_licenses import MIT
-from barograph.llm.tables import ship_code
+from barograph.llm.tables import ship_code, stored
 
 from .conftest import TEXTS, as_tuples
 
@@ -179,6 +179,21 @@ def test_recall_of_the_relaxed_search(spark):
     assert (score >= least[query] - 1e-9).sum() / (20 * len(queries)) >= 0.95
 
 
+def test_smallest_ids_are_aggregated_before_the_shuffle(spark, monkeypatch):
+    rows = [(n, [1.0, 2.0] if n % 3 else [float(n), 1.0]) for n in range(300)]
+    plans = {}
+
+    def watched(frame, label):
+        plans[label] = frame._jdf.queryExecution().sparkPlan().toString()
+        return stored(frame, label)
+
+    monkeypatch.setattr(vptree, "stored", watched)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(map(tuple, vptree.nearest(table, 20, 5).collect()))
+    assert [x[:3] for x in found] == [x[:3] for x in brute_nearest(rows, 20, 5)]
+    assert "Window" not in plans["asked"] and "partial_min(vec_id" in plans["asked"]
+
+
 # --- lines -------------------------------------------------------------------------
 
 
