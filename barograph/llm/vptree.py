@@ -91,24 +91,41 @@ def build_tree(points: np.ndarray, seed: int = 0) -> VantageTree:
 
 
 def search(
-    tree: VantageTree, queries: np.ndarray, k: int, factor: float = 1.0
+    tree: VantageTree,
+    queries: np.ndarray,
+    k: int,
+    factor: float = 1.0,
+    owner: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, point, score) of each query's k best points, and of points that tie with the k-th.
 
     All queries go through the tree together; at a node each first takes the
-    half it lies in, and the other one with what it then knows.
+    half it lies in, and the other one with what it then knows. Where points
+    have an ``owner``, those of one owner count once among the k, by the best.
     """
     points = tree.points
     own = (queries * queries).sum(axis=1)
     best = np.full((len(queries), k), -np.inf)  # of scores; the k-th in column 0
+    held = np.zeros((len(queries), k), np.int64)  # their owners
     found: list[tuple[np.ndarray, ...]] = []
 
     def leaf(node: int, active: np.ndarray) -> None:
         which = tree.order[tree.begin[node] : tree.end[node]]
         scores = queries[active] @ points[which].T
         merged = np.concatenate([best[active], scores], axis=1)
-        best[active] = np.partition(merged, merged.shape[1] - k, axis=1)[:, -k:]
-        best[active] = np.sort(best[active], axis=1)
+        if owner is None:
+            best[active] = np.partition(merged, merged.shape[1] - k, axis=1)[:, -k:]
+            best[active] = np.sort(best[active], axis=1)
+        else:
+            shape = (len(active), len(which))
+            owners = np.concatenate([held[active], np.broadcast_to(owner[which], shape)], axis=1)
+            by = np.lexsort((-merged, owners))
+            merged = np.take_along_axis(merged, by, axis=1)
+            owners = np.take_along_axis(owners, by, axis=1)
+            merged[:, 1:][owners[:, 1:] == owners[:, :-1]] = -np.inf
+            by = np.argsort(merged, axis=1)[:, -k:]
+            best[active] = np.take_along_axis(merged, by, axis=1)
+            held[active] = np.take_along_axis(owners, by, axis=1)
         row, column = np.nonzero(scores >= best[active][:, :1] - NEAR)
         found.append((active[row], which[column], scores[row, column]))
 
@@ -158,7 +175,11 @@ def usable(vector: Column) -> Column:
 
 
 def _top(query, ids, scores, k: int):
-    """The k first rows of each query by score, then id."""
+    """The k first ids of each query by best score, then id."""
+    by = np.lexsort((-scores, ids, query))
+    query, ids, scores = query[by], ids[by], scores[by]
+    once = np.r_[True, (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])][: len(query)]
+    query, ids, scores = query[once], ids[once], scores[once]
     by = np.lexsort((ids, -scores, query))
     query, ids, scores = query[by], ids[by], scores[by]
     first = np.r_[True, query[1:] != query[:-1]] if len(query) else np.zeros(0, bool)
@@ -180,9 +201,10 @@ def nearest(
     Queries are the rows whose id is divisible by ``every``, candidates all rows
     but those with the query's id. Vectors that are null, zero, or hold null or
     non-finite components take no part, nor do null ids. Vectors of another
-    length are no candidates of a query. Equal rows count once; an id with
-    several vectors is several candidates and, as a query, is searched for with
-    each. Other columns are not looked at. An empty table gives no rows.
+    length are no candidates of a query. Equal rows count once. An id with
+    several vectors is, as a query, searched for with each, and as a candidate
+    listed once; the score is the best of any two vectors of both ids. Other
+    columns are not looked at. An empty table gives no rows.
     """
     own = vectors.select(
         F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")
@@ -205,7 +227,7 @@ def nearest(
     first_ids = asked.groupBy("print", "v").agg(F.min("vec_id").alias("point"))
     asked = stored(asked.join(first_ids, ["print", "v"]), "asked")
     distinct = asked.filter(F.col("vec_id") == F.col("point")).select(
-        "point", "v", F.size("v").alias("size")
+        "point", "print", "v", F.size("v").alias("size")
     )
     many = {row["size"]: row["n"] for row in _sizes(points)}
     per = {size: max(1, SHARD_BYTES // (8 * size)) for size in many}
@@ -239,11 +261,11 @@ def nearest(
     def gather(group: pd.DataFrame) -> pd.DataFrame:
         size, number = int(group["size"].iloc[0]), int(group["block"].iloc[0])
         matrix = np.stack(group["v"].to_numpy()).astype("<f8").tobytes()
-        ids = group["point"].to_numpy("<i8").tobytes()
+        ids = group[["point", "print"]].to_numpy("<i8").tobytes()
         return pd.DataFrame({"size": [size], "block": [number], "ids": [ids], "rows": [matrix]})
 
     asked_in = distinct.select(
-        "size", F.pmod(F.xxhash64("point"), of(blocks)).alias("block"), "v", "point"
+        "size", F.pmod(F.xxhash64("print"), of(blocks)).alias("block"), "v", "point", "print"
     )
     gathered = asked_in.groupBy("size", "block").applyInPandas(
         gather, "size int, block long, ids binary, rows binary"
@@ -263,10 +285,18 @@ def nearest(
                 tree, members = pickle.loads(raw.as_py())
                 counts = np.array([len(x) for x in members])
                 flat, starts = np.concatenate(members), np.cumsum(counts) - counts
-                asked_ids = np.frombuffer(ids.as_py(), "<i8")
+                smallest_ids = np.array([x[0] for x in members])
+                repeated = len(np.unique(smallest_ids)) < len(members)
+                asked_ids = np.frombuffer(ids.as_py(), "<i8").reshape(-1, 2)
                 queries = np.frombuffer(rows.as_py(), "<f8").reshape(-1, size.as_py())
                 for at in range(0, len(queries), AT_ONCE):
-                    query, point, score = search(tree, queries[at : at + AT_ONCE], wanted, factor)
+                    query, point, score = search(
+                        tree,
+                        queries[at : at + AT_ONCE],
+                        wanted,
+                        factor,
+                        smallest_ids if repeated else None,
+                    )
                     wide = counts[point]
                     step = np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)
                     found = flat[np.repeat(starts[point], wide) + step]
@@ -274,18 +304,30 @@ def nearest(
                         np.repeat(query, wide), found, np.repeat(score, wide), wanted
                     )
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(asked_ids[at + query]), pa.array(found), pa.array(score)],
-                        ["point", "found", "score"],
+                        [
+                            *map(pa.array, asked_ids[at + query].T.copy()),
+                            pa.array(found),
+                            pa.array(score),
+                        ],
+                        ["point", "print", "found", "score"],
                     )
 
     found = met.select("size", "tree", "ids", "rows").mapInArrow(
-        seek, "point long, found long, score double"
+        seek, "point long, print long, found long, score double"
     )
-    first = Window.partitionBy("point").orderBy(F.desc("score"), "found")
+    # The smallest id may be that of several vectors; with its digest each is told apart.
+    own_vector = ["point", "print"]
+    found = found.repartition(*own_vector).groupBy(*own_vector, "found").agg(
+        F.max("score").alias("score")
+    )
+    first = Window.partitionBy(*own_vector).orderBy(F.desc("score"), "found")
     best = found.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= wanted)
-    queries = asked.select(F.col("vec_id").alias("query_id"), "point")
-    hits = queries.join(best.select("point", "found", "score"), "point")
+    queries = asked.select(F.col("vec_id").alias("query_id"), *own_vector)
+    hits = queries.join(best.select(*own_vector, "found", "score"), own_vector)
     hits = hits.filter(F.col("found") != F.col("query_id"))
+    hits = hits.repartition("query_id").groupBy("query_id", "found").agg(
+        F.max("score").alias("score")
+    )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "found")
     return (
         hits.withColumn("rank", F.row_number().over(order))

@@ -180,6 +180,7 @@ def test_recall_of_the_relaxed_search(spark):
 
 
 def test_smallest_ids_are_aggregated_before_the_shuffle(spark, monkeypatch):
+    ship_code(spark)
     rows = [(n, [1.0, 2.0] if n % 3 else [float(n), 1.0]) for n in range(300)]
     plans = {}
 
@@ -194,6 +195,35 @@ def test_smallest_ids_are_aggregated_before_the_shuffle(spark, monkeypatch):
     assert "Window" not in plans["asked"] and "partial_min(vec_id" in plans["asked"]
 
 
+def brute_ids(rows, every, k):
+    """Each id once, by the best score of any two vectors."""
+    best = {}
+    for n, v in rows:
+        for m, w in rows:
+            if n % every == 0 and m != n:
+                score = float((np.array(v) * np.array(w)).sum())
+                best[n, m] = max(score, best.get((n, m), -np.inf))
+    found = []
+    for n in {n for n, _ in best}:
+        ranked = sorted((-s, m) for (q, m), s in best.items() if q == n)
+        found += [(n, r, m) for r, (_, m) in enumerate(ranked[:k], 1)]
+    return sorted(found)
+
+
+def test_ids_with_several_vectors(spark):
+    ship_code(spark)
+    random = np.random.default_rng(3)
+    rows = [(n, random.normal(size=8).round(2).tolist()) for n in range(1, 400) if n % 20]
+    a, b = random.normal(size=8).round(2).tolist(), random.normal(size=8).round(2).tolist()
+    rows += [(20, a), (20, b), (40, a)]  # 20 is the smallest id of both vectors
+    # More vectors than neighbours asked for, all near to a query and of one other id or its own.
+    rows += [(n, (3 * np.array(a) + random.normal(size=8) / 9).tolist())
+             for n in (7, 60) for _ in range(12)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(tuple(row)[:3] for row in vptree.nearest(table, 20, 5).collect())
+    assert found == brute_ids(rows, 20, 5)
+
+
 # --- lines -------------------------------------------------------------------------
 
 
