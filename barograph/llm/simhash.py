@@ -61,20 +61,27 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(np.packbits(bits, axis=1, bitorder="little").ravel().view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and fingerprint (as a signed 64-bit integer) of each row."""
-    own = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text"))
+def fingerprints(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE
+) -> DataFrame:
+    """doc_id, fingerprint (as a signed 64-bit integer) and text_hash of each row."""
+    own = docs.select(
+        F.col(key).alias("doc_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("text_hash")
+    )
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.fromiter(
-                (fingerprint(x.as_py()) for x in batch["_text"]), np.uint64, batch.num_rows
+                (fingerprint(x.as_py(), shingle) for x in batch["_text"]), np.uint64, batch.num_rows
             )
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(prints.view(np.int64))], ["doc_id", "fp"]
+                [batch["doc_id"], pa.array(prints.view(np.int64)), batch["text_hash"]],
+                ["doc_id", "fp", "text_hash"],
             )
 
-    schema = T.StructType([own.schema["doc_id"], T.StructField("fp", T.LongType())])
+    schema = T.StructType(
+        [own.schema["doc_id"], *(T.StructField(x, T.LongType()) for x in ("fp", "text_hash"))]
+    )
     return own.mapInArrow(measure, schema)
 
 
@@ -96,10 +103,12 @@ def lead_masks(lead: int, differences: int = DIFFERENCES) -> list[int]:
     return masks
 
 
-def lead_blocks(distinct: int, per_lead: int = PER_LEAD) -> int:
+def lead_blocks(
+    distinct: int, per_lead: int = PER_LEAD, differences: int = DIFFERENCES
+) -> int:
     """How many blocks lead: any number finds all links; more make smaller groups."""
     lead = 1
-    while distinct / 2 ** (64 * lead / (DIFFERENCES + lead)) > per_lead and lead < 6:
+    while distinct / 2 ** (64 * lead / (differences + lead)) > per_lead and lead < 6:
         lead += 1
     return lead
 
@@ -192,7 +201,9 @@ def _runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[np.ndarray]:
         yield np.concatenate(kept)
 
 
-def links(distinct: DataFrame, lead: int, together: int = TOGETHER) -> DataFrame:
+def links(
+    distinct: DataFrame, lead: int, together: int = TOGETHER, differences: int = DIFFERENCES
+) -> DataFrame:
     """Links (a, b) that connect all fingerprints within the allowed differences.
 
     Not every linked pair is there, but enough to reach each from the other.
@@ -200,7 +211,7 @@ def links(distinct: DataFrame, lead: int, together: int = TOGETHER) -> DataFrame
     leads = F.array(
         *[
             F.struct(F.lit(n).alias("which"), F.col("fp").bitwiseAND(F.lit(mask)).alias("lead"))
-            for n, mask in enumerate(lead_masks(lead))
+            for n, mask in enumerate(lead_masks(lead, differences))
         ]
     )
     dealt = distinct.select("fp", F.explode(leads).alias("l")).select("fp", "l.which", "l.lead")
@@ -220,7 +231,7 @@ def links(distinct: DataFrame, lead: int, together: int = TOGETHER) -> DataFrame
         for held in _runs(batches, 2 * together):
             prints = np.ascontiguousarray(held[:, 4])
             change = np.r_[True, (held[1:, :4] != held[:-1, :4]).any(axis=1)]
-            root = linked(prints.view(np.uint64), np.cumsum(change))
+            root = linked(prints.view(np.uint64), np.cumsum(change), differences)
             moved = root != np.arange(len(root))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(prints[moved]), pa.array(prints[root[moved]])], ["a", "b"]
@@ -229,22 +240,40 @@ def links(distinct: DataFrame, lead: int, together: int = TOGETHER) -> DataFrame
     return ordered.mapInArrow(connect, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _rooted(
+    docs: DataFrame, key: str, text: str, shingle: int, differences: int
+) -> tuple[DataFrame, DataFrame]:
+    """The rows' fingerprints, and per distinct one its smallest id, first row and root."""
+    rows = stored(fingerprints(docs, key, text, shingle), "simhash")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "text_hash")
+    distinct = rows.groupBy("fp").agg(
+        F.min("doc_id").alias("first_id"), F.min(place).alias("first")
+    )
+    distinct = stored(distinct, "simhash-distinct")
+    lead = lead_blocks(distinct.count(), differences=differences)
+    found = components(links(distinct, lead, differences=differences))
+    return rows, distinct.join(found, distinct["fp"] == found["node"], "left").select(
+        "fp", "first_id", "first", F.coalesce("root", "fp").alias("root")
+    )
+
+
+def near_duplicates(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    differences: int = DIFFERENCES,
+) -> DataFrame:
     """Per row: doc_id, fingerprint (16 hex digits), component_id.
 
     ``component_id`` is the smallest id that can be reached over links of at
-    most ``DIFFERENCES`` bits. Texts without words (null and empty ones too)
+    most ``differences`` bits. Texts without words (null and empty ones too)
     have fingerprint zero and link like any other. Equal fingerprints count
     once in the search, so copies cost nothing. Repeated rows: one row each.
     Null ids: kept, never a component's id unless it has no other (then null).
     Other columns are not looked at. An empty table gives no rows.
     """
-    rows = stored(fingerprints(docs, key, text), "simhash")
-    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    found = components(links(distinct, lead_blocks(distinct.count())))
-    rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
+    rows, rooted = _rooted(docs, key, text, shingle, differences)
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     owner = rooted.join(smallest, "root").select("fp", "component_id")
     return rows.join(owner, "fp").select(
@@ -252,12 +281,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows whose id is their component's id, with all their columns.
+def one_of_each(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    differences: int = DIFFERENCES,
+) -> DataFrame:
+    """Of each component the text with the smallest id (null last), with all its columns.
 
-    Rows that repeat that id stay together. A component without ids stays whole.
+    Another text under that id is judged by its own component; in the same one
+    it goes. Rows that repeat both id and text stay together.
     """
-    found = near_duplicates(docs, key, text).select("doc_id", "component_id").distinct()
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-    kept = kept.distinct()
-    return docs.join(kept, docs[key].eqNullSafe(kept["doc_id"]), "left_semi")
+    _, rooted = _rooted(docs, key, text, shingle, differences)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(
+        F.col("first.doc_id").alias("_kept_id"), F.col("first.text_hash").alias("_kept_hash")
+    )
+    same = docs[key].eqNullSafe(kept["_kept_id"])
+    return docs.join(kept, same & (F.xxhash64(docs[text]) == kept["_kept_hash"]), "left_semi")

@@ -95,3 +95,24 @@ def test_components_of_a_long_chain(spark):
                                   "a long, b long")
     rows = as_tuples(components(links))
     assert rows == sorted([(k, 0) for k in range(301)] + [(1000, 1000), (1001, 1000)], key=repr)
+
+
+def test_one_text_of_each_component_stays(spark, docs):
+    words = [" ".join(f"w{k * n % 211}" for k in range(1, 60)) for n in (1, 2, 3)]
+    rows = [(1, words[0]), (2, words[0]), (2, words[1]), (3, words[1]), (3, words[0]),
+            (4, words[2]), (4, words[2].upper()), (None, "of no id"), (None, "Of no ID")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash.one_of_each(table).collect()
+    assert sorted((r.doc_id or 0, r.text.lower()) for r in kept) == [
+        (0, "of no id"), (1, words[0]), (2, words[1]), (4, words[2])]
+
+
+def test_shingle_and_differences_are_parameters(spark, docs):
+    a = " ".join(f"w{k}" for k in range(100))
+    b = a.replace("w50", "other")
+    table = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    far = (simhash.fingerprint(a, 5) ^ simhash.fingerprint(b, 5)).bit_count()
+    assert 0 < far
+    for differences, left in ((far - 1, 2), (far, 1)):
+        found = simhash.one_of_each(table, shingle=5, differences=differences)
+        assert found.count() == left
