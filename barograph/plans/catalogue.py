@@ -333,12 +333,18 @@ def bus_parts(
     broken: str | None = None,
     type_as_walk: bool = False,
 ) -> Iterator[int]:
-    """Send the events to a replay bus in equal parts of their time range, one per step."""
+    """Send the events to a replay bus in equal parts of their time range, one per step.
+
+    Events without a time go with the oldest part, so that the parts are the whole table.
+    """
     cuts = time_cuts(spark, sf_dir, parts)
     spans = list(zip(cuts, cuts[1:]))
     for number, span in enumerate(reversed(spans) if newest_first else spans):
         start, end = (F.timestamp_micros(F.lit(cut)).cast("timestamp_ntz") for cut in span)
-        part = events(spark, sf_dir).filter((F.col("ts") >= start) & (F.col("ts") < end))
+        own = (F.col("ts") >= start) & (F.col("ts") < end)
+        if span is spans[0]:
+            own |= F.col("ts").isNull()
+        part = events(spark, sf_dir).filter(own)
         write_messages(messages(part, broken, type_as_walk), bus)
         yield number
 
@@ -399,7 +405,9 @@ def bronze_day(spark, sf_dir):
 @query
 def bronze_bad_rows(spark, sf_dir):
     """Messages of one type are cut short; the lake keeps them apart."""
-    return bad_rows(filled_lake(spark, sf_dir, ONE_SENSOR)).select("offset", "messageKey")
+    bad = bad_rows(filled_lake(spark, sf_dir, ONE_SENSOR))
+    # Whole messages of events without a time are in that partition too.
+    return bad.filter(F.col("sensorType").isNull()).select("offset", "messageKey")
 
 
 def time_cuts(spark: SparkSession, sf_dir: str, parts: int) -> list[int]:

@@ -95,3 +95,17 @@ def test_entry(spark):
     read = "struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>"
     assert f"ReadSchema: {read}" in plan
     assert "Python" not in plan and plan.count("Exchange") == 1 and plan.count("from_json") == 1
+
+
+@pytest.mark.parametrize("name", ["stream_bronze", "bronze_bad_rows"])
+def test_events_without_a_time_reach_the_lake(spark, tmp_path, name):
+    engine = duckdb.connect()
+    engine.execute(f"""CREATE TABLE events AS SELECT * REPLACE (
+        CASE WHEN event_id % 7 = 0 THEN NULL ELSE ts END AS ts) FROM '{DATA}/events.parquet'""")
+    engine.execute(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    frame = QUERIES[name](spark, str(tmp_path))
+    wanted = engine.sql(f'SELECT "offset", messageKey FROM ({ORACLES[name]})').fetchall()
+    got = [tuple(row) for row in frame.select("`offset`", "messageKey").collect()]
+    missing = engine.sql("SELECT event_id FROM events WHERE ts IS NULL").fetchall()
+    assert {n for n, in missing} & {n for n, _ in wanted}
+    assert in_order(got) == in_order(wanted)
