@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from barograph.llm import (
+    alignment,
     bpetrie,
+    cubemix,
     hashtree,
     licenses,
     linededup,
@@ -17,6 +19,7 @@ from barograph.llm import (
     quality,
     simhash,
     tokenfile,
+    veccodes,
     vptree,
 )
 from barograph.llm.tables import table
@@ -28,6 +31,7 @@ QUERY_KEY = b"key of the registered queries"
 #: Prunes where the gap exceeds a quarter of the best distance; recall is in the README.
 RELAXED = 4.0
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +89,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_pointer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens by two tokenizers, in groups, with corpus-wide link counts."""
+    return alignment.token_alignment(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
+def op12_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, sources mixed by weights 1, 2, 3, each document at most three times."""
+    return cubemix.mixed(table(spark, sf_dir, "documents"))
+
+
+def op13_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as 16 codes of 64 entries, found by an access tree over the entries."""
+    return veccodes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_boosted_quality": op1_boosted_quality,
     "op2_gray_simhash": op2_gray_simhash,
@@ -96,6 +115,9 @@ QUERIES: dict[str, Query] = {
     "op8_hash_tree": op8_hash_tree,
     "op9_trie_bpe": op9_trie_bpe,
     "op10_license_scan": op10_license_scan,
+    "op11_pointer_alignment": op11_pointer_alignment,
+    "op12_cube_mixing": op12_cube_mixing,
+    "op13_gnat_codes": op13_gnat_codes,
 }
 
 ORACLES: dict[str, str] = {

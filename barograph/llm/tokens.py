@@ -15,11 +15,12 @@ RUN = 64
 
 
 @lru_cache(maxsize=1)
-def token_memory(path: str, kept: int = CHUNKS_KEPT) -> ChunkMemory:
+def token_memory(path: str, kept: int = CHUNKS_KEPT, plain: bool = False) -> ChunkMemory:
     """Ids as little-endian unsigned 32-bit integers; one memory per worker process.
 
     A worker keeps it between tasks, and a chunk takes some 200 bytes: ``kept`` is
     the place to save memory where workers do other work too.
+    ``plain`` takes special tokens' strings in texts for ordinary text.
     ``path`` names a byte-level BPE file whose words take one blank before them.
     Chunks that begin with a blank and end in no white space stand side by side
     in one text as they do in a document, so many go to the tokenizer at once;
@@ -31,6 +32,7 @@ def token_memory(path: str, kept: int = CHUNKS_KEPT) -> ChunkMemory:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    tokenizer.encode_special_tokens = plain
     added = {n: x.content for n, x in tokenizer.get_added_tokens_decoder().items()}
     width = np.zeros(tokenizer.get_vocab_size(), np.int64)
     for token, n in tokenizer.get_vocab().items():
