@@ -21,6 +21,7 @@ from barograph.operators.bronze import bad_rows
 from barograph.operators.cache import cache_rows
 from barograph.operators.envelopes import FOR_STATS, as_bus_rows, parse_messages, to_envelopes
 from barograph.operators.filters import complete_rows, in_year, on_day, on_sensor, on_walk
+from barograph.operators.panes import pane_rows, pane_stats, pane_windows
 from barograph.operators.reports import (
     band_series,
     by_start,
@@ -63,6 +64,8 @@ LONG = WindowSpec("2 days", "1 day")
 HOURLY = WindowSpec("1 hour", None)
 HALF_HOURLY = WindowSpec("1 hour", "30 minutes")
 WIDE = WindowSpec("20 days", "10 days")
+MINUTELY = WindowSpec("1 hour", "1 minute")
+UNEVEN = WindowSpec("3 days", "2 days")
 
 NOW = Trigger()
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,6 +162,18 @@ def tumbling_stats_1h(spark, sf_dir):
     return window_stats(measured(events(spark, sf_dir)), HOURLY, keys=("sensorType",))
 
 
+@query
+def pane_stats_1h_1m(spark, sf_dir):
+    """Each row lies in sixty windows and is aggregated once."""
+    return pane_stats(measured(events(spark, sf_dir)), MINUTELY, keys=("sensorType",))
+
+
+@query
+def pane_stats_3d_2d(spark, sf_dir):
+    """A slide that does not divide the size: windows are three panes, their starts two apart."""
+    return pane_stats(measured(events(spark, sf_dir)), UNEVEN)
+
+
 @query
 def message_window_stats(spark, sf_dir):
     """The flagship: events to JSON messages, parsed again, window statistics."""
@@ -368,6 +383,17 @@ def stream_live_table(spark, sf_dir):
     return live_table(spark, filled_live_table(spark, sf_dir))
 
 
+@query
+def live_pane_windows(spark, sf_dir):
+    """The live table holds panes, as the stream's state does; windows are made when it is read."""
+    folder = fresh_folder(spark, "live")
+    name = f"live_{uuid.uuid4().hex}"
+    for _ in bus_parts(spark, sf_dir, f"{folder}/bus"):
+        panes = pane_rows(bus_measurements(spark, f"{folder}/bus"), UNEVEN)
+        start_live_table(panes, name, f"{folder}/live", NOW).awaitTermination()
+    return pane_windows(live_table(spark, name), UNEVEN)
+
+
 @query
 def live_table_sql(spark, sf_dir):
     """The newest windows, asked of the live table by its name in SQL."""

@@ -80,6 +80,8 @@ CACHE_NAMES = ", ".join(
 LONG = windows("2 days", "1 day", 2)
 HALF_HOURLY = windows("1 hour", "30 minutes", 2)
 HALF_HOURLY_TOGETHER = windows("1 hour", "30 minutes", 2, keys="")
+MINUTELY = windows("1 hour", "1 minute", 60, keys="sensorType")
+UNEVEN = windows("3 days", "2 days", 2, kept="windowStart + INTERVAL '3 days' > eventTime")
 HOURLY = windows("1 hour", "1 hour", 1, keys="sensorType")
 LATE = windows(
     "20 days", "10 days", 2,
@@ -127,6 +129,9 @@ ORACLES = {
     "sliding_stats_10s_5s": windows("10 seconds", "5 seconds", 2) + "SELECT * EXCLUDE (mean) FROM stats",
     "sliding_stats_2d_1d": LONG + "SELECT * EXCLUDE (mean) FROM stats",
     "tumbling_stats_1h": HOURLY + "SELECT * EXCLUDE (mean) FROM stats",
+    "pane_stats_1h_1m": MINUTELY + "SELECT * EXCLUDE (mean) FROM stats",
+    "pane_stats_3d_2d": UNEVEN + "SELECT * EXCLUDE (mean) FROM stats",
+    "live_pane_windows": UNEVEN + "SELECT * EXCLUDE (mean) FROM stats",
     "message_window_stats": LONG + "SELECT * EXCLUDE (mean) FROM stats",
     "cache_layout": LONG + CACHE_ROWS,
     "parse_json_payload": """
