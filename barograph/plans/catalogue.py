@@ -21,6 +21,7 @@ from barograph.operators.bronze import bad_rows
 from barograph.operators.cache import cache_rows
 from barograph.operators.envelopes import FOR_STATS, as_bus_rows, parse_messages, to_envelopes
 from barograph.operators.filters import complete_rows, in_year, on_day, on_sensor, on_walk
+from barograph.operators.offsets import with_offsets
 from barograph.operators.panes import pane_rows, pane_stats, pane_windows
 from barograph.operators.reports import (
     band_series,
@@ -58,6 +59,7 @@ LOG_WALK, LOG_SENSOR = "walk-log", "barometer"
 ONE_WALK, ONE_SENSOR, YEAR, DAY = "8", "error", 2024, "2024-01-15"
 TYPE_WALK, WALK_DAY = "click", "2024-01-10"
 POINTS = 12  # of the thinned chart
+BUS_PARTITIONS = 8
 
 SHORT = WindowSpec("10 seconds", "5 seconds")
 LONG = WindowSpec("2 days", "1 day")
@@ -120,7 +122,15 @@ def as_log(source: DataFrame) -> DataFrame:
 def messages(
     source: DataFrame, broken: str | None = None, type_as_walk: bool = False
 ) -> DataFrame:
-    """Events as bus rows.
+    """Events as bus rows, numbered by their id in one partition."""
+    keyed = keyed_events(source, broken, type_as_walk)
+    return as_bus_rows(keyed, TOPIC, F.col("event_id"), F.col("ts").cast("timestamp"))
+
+
+def keyed_events(
+    source: DataFrame, broken: str | None = None, type_as_walk: bool = False
+) -> DataFrame:
+    """Events as keyed messages, with their id, time and type.
 
     JSON of the event type ``broken`` is cut short. ``type_as_walk`` makes few
     long walks with one sensor, instead of one short walk per user.
@@ -140,7 +150,7 @@ def messages(
         keyed = keyed.withColumn(
             "value", F.when(kind == broken, cut).otherwise(F.col("value"))
         )
-    return as_bus_rows(keyed, TOPIC, F.col("event_id"), F.col("ts").cast("timestamp"))
+    return keyed
 
 
 # --- batch: windows ----------------------------------------------------------------
@@ -217,6 +227,17 @@ def envelope_roundtrip(spark, sf_dir):
     return parsed.drop("jsonValue")
 
 
+@query
+def bus_offsets(spark, sf_dir):
+    """Events dealt over bus partitions by walk, numbered by send time in each."""
+    rows = with_offsets(
+        keyed_events(events(spark, sf_dir)), TOPIC, BUS_PARTITIONS, ("ts", "event_id"),
+        F.col("ts").cast("timestamp"),
+    )
+    parsed = parse_messages(rows, wanted=("walkId", "sensorType", "pressureHpa"))
+    return parsed.drop("jsonValue", "topic")
+
+
 @query
 def csv_log_roundtrip(spark, sf_dir):
     """Events to a CSV sensor log; the log to replay messages; those parsed."""

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from barograph.operators.envelopes import FOR_STATS, as_bus_rows, parse_messages, to_envelopes
+from barograph.operators.offsets import with_offsets
 from barograph.operators.reports import (
     band_series,
     day_series,
@@ -182,11 +183,20 @@ def send_sensor_log(
     base_epoch: float,
     topic: str,
     bus: BusOptions | None = None,
+    partitions: int | None = None,
 ) -> None:
-    """A CSV sensor log to messages, on all tasks at once: to a replay folder, or to ``bus``."""
-    keyed = to_envelopes(sensor_log(spark, log_path), user, device, walk, sensor, base_epoch)
+    """A CSV sensor log to messages, on all tasks at once: to a replay folder, or to ``bus``.
+
+    With ``partitions`` the folder's messages are dealt by key and numbered
+    without gaps, in the order of their elapsed time, as a bus would; without,
+    they are numbered as they come, which needs no shuffle.
+    """
+    log = sensor_log(spark, log_path)
+    keyed = to_envelopes(log, user, device, walk, sensor, base_epoch, keep=("timeSeconds",))
     if bus is not None:
-        publish_messages(keyed, bus)
+        publish_messages(keyed.drop("timeSeconds"), bus)
+    elif partitions:
+        write_messages(with_offsets(keyed, topic, partitions, ("timeSeconds",)), replay_path)
     else:
         write_messages(as_bus_rows(keyed, topic), replay_path)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from barograph.plans.catalogue import (
     BASE_EPOCH,
+    BUS_PARTITIONS,
     DAY,
     DEVICE,
     LOG_SENSOR,
@@ -148,6 +149,15 @@ SELECT '{TOPIC}' AS topic, CAST(0 AS INTEGER) AS "partition", event_id AS "offse
        date_trunc('second', ts) AS eventTime, {ELAPSED} AS timeSeconds,
        {six('value')} AS pressureHpa
 FROM events""",
+    "bus_offsets": f"""
+SELECT "partition", ROW_NUMBER() OVER (PARTITION BY "partition" ORDER BY ts, event_id) - 1 AS "offset",
+       ts AS kafkaTimestamp, CAST(user_id AS VARCHAR) AS messageKey,
+       CAST(user_id AS VARCHAR) AS walkId, event_type AS sensorType, {six('value')} AS pressureHpa
+FROM (
+  SELECT *, CAST(CAST('0x' || left(md5(CAST(user_id AS VARCHAR)), 8) AS BIGINT) % {BUS_PARTITIONS}
+                 AS INTEGER) AS "partition"
+  FROM events
+)""",
     "csv_log_roundtrip": f"""
 SELECT '{LOG_WALK}' AS messageKey, '{USER}' AS userId, '{DEVICE}' AS deviceId,
        '{LOG_WALK}' AS walkId, '{LOG_SENSOR}' AS sensorType,
