@@ -40,13 +40,18 @@ from barograph.operators.textstats import (
     text_totals,
 )
 from barograph.operators.windows import window_stats
-from barograph.schema import BRONZE, layout
+from barograph.schema import BRONZE, GROUP_KEYS, layout
 from barograph.session import pin_utc
 from barograph.settings import CacheFilter, Trigger, WindowSpec
 from barograph.sources.files import bronze_table, sensor_log, text_lines
 from barograph.sources.messages import replay_batch, replay_stream
 from barograph.sources.tables import live_table
 from barograph.streaming.bronze import start_bronze, write_messages
+from barograph.streaming.closed import closed_windows as closed_table
+from barograph.streaming.closed import open_windows as open_table
+from barograph.streaming.closed import start_closed_windows
+from barograph.streaming.fanout import LakeAndWindows
+from barograph.streaming.health import health_log, health_table, observed
 from barograph.streaming.live import start_live_table
 from barograph.streaming.monitor import stop_all
 from barograph.streaming.resultcache import ResultCache
@@ -368,14 +373,17 @@ def bus_parts(
     newest_first: bool = False,
     broken: str | None = None,
     type_as_walk: bool = False,
+    sent: tuple[int, ...] | None = None,
 ) -> Iterator[int]:
     """Send the events to a replay bus in equal parts of their time range, one per step.
 
-    Events without a time go with the oldest part, so that the parts are the whole table.
+    Parts go oldest first, unless ``newest_first`` or ``sent``, their numbers in order, says
+    otherwise. Events without a time go with the oldest part, so that the parts are the whole table.
     """
     cuts = time_cuts(spark, sf_dir, parts)
     spans = list(zip(cuts, cuts[1:]))
-    for number, span in enumerate(reversed(spans) if newest_first else spans):
+    ordered = [spans[n] for n in sent or (reversed(range(parts)) if newest_first else range(parts))]
+    for number, span in enumerate(ordered):
         start, end = (F.timestamp_micros(F.lit(cut)).cast("timestamp_ntz") for cut in span)
         own = (F.col("ts") >= start) & (F.col("ts") < end)
         if span is spans[0]:
@@ -457,6 +465,71 @@ def bronze_bad_rows(spark, sf_dir):
     return bad.filter(F.col("sensorType").isNull()).select("offset", "messageKey")
 
 
+@query
+def stream_health(spark, sf_dir):
+    """Per batch of the lake's stream what it took in; messages of one type are cut short."""
+    folder = fresh_folder(spark, "health")
+    with health_log(spark, f"{folder}/health") as log:
+        for _ in bus_parts(spark, sf_dir, f"{folder}/bus", broken=ONE_SENSOR):
+            parsed = observed(parse_messages(replay_stream(spark, f"{folder}/bus")))
+            query = start_bronze(parsed, f"{folder}/lake", f"{folder}/checkpoint", NOW)
+            query.awaitTermination()
+            log.wait([query])
+    return health_table(spark, f"{folder}/health").select(
+        "batch_id", "rows", "unparsed", "first_event", "last_event"
+    )
+
+
+def filled_stores(spark: SparkSession, sf_dir: str, spec: WindowSpec) -> LakeAndWindows:
+    """In three parts, the query started anew for each."""
+    folder = fresh_folder(spark, "fanout")
+    stores = LakeAndWindows(spark, f"{folder}/stores", spec)
+    for _ in bus_parts(spark, sf_dir, f"{folder}/bus"):
+        stores.start(replay_stream(spark, f"{folder}/bus"), NOW).awaitTermination()
+    return stores
+
+
+@query
+def fanout_lake_and_cache(spark, sf_dir):
+    """Window statistics and, of the same batches, the lake's rows per walk and sensor type."""
+    stores = filled_stores(spark, sf_dir, LONG)
+    rows = stores.lake().groupBy("walkId", "sensorType").agg(
+        F.count("*").alias("lake_rows"), F.max("`offset`").alias("last_offset")
+    )
+    return stores.stats().join(rows, ["walkId", "sensorType"])
+
+
+@query
+def fanout_wider_windows(spark, sf_dir):
+    """Filled for windows of a day and a half by half days, read by wider ones of whole panes."""
+    return filled_stores(spark, sf_dir, WindowSpec("36 hours", "12 hours")).stats(UNEVEN)
+
+
+def closed_and_open(spark: SparkSession, sf_dir: str) -> str:
+    """The middle part first, then the oldest, which is late, then the newest."""
+    folder = fresh_folder(spark, "closed")
+    for _ in bus_parts(spark, sf_dir, f"{folder}/bus", sent=(1, 0, 2)):
+        stats = window_stats(bus_measurements(spark, f"{folder}/bus"), WIDE)
+        start_closed_windows(
+            stats, f"{folder}/table", f"{folder}/checkpoint", NOW
+        ).awaitTermination()
+    return folder
+
+
+@query
+def closed_windows(spark, sf_dir):
+    """Windows the watermark has closed, each written once."""
+    folder = closed_and_open(spark, sf_dir)
+    return closed_table(spark, f"{folder}/table").drop("updated_at")
+
+
+@query
+def open_windows(spark, sf_dir):
+    """Windows still in the same stream's state, with their statistics so far."""
+    folder = closed_and_open(spark, sf_dir)
+    return open_table(spark, f"{folder}/checkpoint", GROUP_KEYS)
+
+
 def time_cuts(spark: SparkSession, sf_dir: str, parts: int) -> list[int]:
     """Equal parts of the table's time range, in epoch microseconds."""
     micros = F.unix_micros(F.col("ts").cast("timestamp"))

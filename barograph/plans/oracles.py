@@ -95,6 +95,24 @@ halves AS (
     kept="""ts >= (SELECT middle FROM halves)
      OR windowStart + INTERVAL '20 days' > (SELECT watermark FROM halves)""",
 )
+# Three parts of the time range, the middle one sent first. The watermark a batch meets follows
+# from the batches before it: the oldest part counts in windows that the middle one left open.
+SENT = windows(
+    "20 days", "10 days", 2,
+    extra=""",
+ends AS (SELECT epoch_us(MIN(ts)) AS low, epoch_us(MAX(ts)) AS high FROM measured),
+thirds AS (
+  SELECT make_timestamp(low + (high - low) * 1 // 3) AS one, make_timestamp(low + (high - low) * 2 // 3) AS two
+  FROM ends
+),
+marks AS (
+  SELECT MAX(eventTime) FILTER (WHERE ts < (SELECT two FROM thirds)) - INTERVAL '1 minute' AS first,
+         MAX(eventTime) - INTERVAL '1 minute' AS last
+  FROM measured
+)""",
+    kept="""ts >= (SELECT one FROM thirds)
+     OR windowStart + INTERVAL '20 days' > (SELECT first FROM marks)""",
+)
 TYPES_AS_WALKS = windows(
     "1 hour", "30 minutes", 2,
     measured=f"""
@@ -215,6 +233,28 @@ FROM events WHERE CAST(ts AS DATE) = DATE '{DAY}' AND event_type = '{ONE_SENSOR}
     "bronze_bad_rows": f"""
 SELECT event_id AS "offset", CAST(user_id AS VARCHAR) AS messageKey
 FROM events WHERE event_type = '{ONE_SENSOR}'""",
+    "stream_health": f"""
+WITH ends AS (SELECT epoch_us(MIN(ts)) AS low, epoch_us(MAX(ts)) AS high FROM events),
+parts AS (
+  SELECT CAST(CASE WHEN ts < make_timestamp(low + (high - low) * 1 // 3) OR ts IS NULL THEN 0
+                   WHEN ts < make_timestamp(low + (high - low) * 2 // 3) THEN 1 ELSE 2 END AS BIGINT) AS batch_id,
+         CASE WHEN event_type <> '{ONE_SENSOR}' THEN date_trunc('second', ts) END AS event
+  FROM events, ends
+)
+SELECT batch_id, COUNT(*) AS rows, COUNT(*) - COUNT(event) AS unparsed,
+       MIN(event) AS first_event, MAX(event) AS last_event
+FROM parts GROUP BY batch_id""",
+    "fanout_lake_and_cache": LONG + """
+SELECT * EXCLUDE (mean) FROM stats JOIN (
+  SELECT walkId, sensorType, COUNT(*) AS lake_rows, MAX("offset") AS last_offset
+  FROM measured GROUP BY walkId, sensorType
+) USING (walkId, sensorType)""",
+    "fanout_wider_windows": UNEVEN + "SELECT * EXCLUDE (mean) FROM stats",
+    "closed_windows": SENT + f"""
+SELECT *, CAST(window_start AS DATE) AS window_date FROM ({CACHE_ROWS})
+WHERE window_end <= (SELECT last FROM marks)""",
+    "open_windows": SENT + """
+SELECT * EXCLUDE (mean) FROM stats WHERE windowEnd > (SELECT last FROM marks)""",
     "stream_result_cache": LONG + CACHE_ROWS,
     "compacted_cache": LONG + CACHE_ROWS,
     "compacted_live_cache": LONG + CACHE_ROWS,

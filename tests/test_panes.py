@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from barograph.operators.panes import MOMENTS, pane_rows, pane_stats, pane_windows, shape_of, span_micros
 from barograph.operators.windows import window_stats
 from barograph.settings import WindowSpec
-from tests.test_windows import brute_force, measured, results
+from test_windows import brute_force, measured, results
 
 KEYS = ("walkId",)
 
