@@ -43,7 +43,7 @@ from barograph.operators.windows import window_stats
 from barograph.schema import BRONZE, GROUP_KEYS, layout
 from barograph.session import pin_utc
 from barograph.settings import CacheFilter, Trigger, WindowSpec
-from barograph.sources.files import bronze_table, sensor_log, text_lines
+from barograph.sources.files import bronze_table, sensor_log, sensor_logs, text_lines
 from barograph.sources.messages import replay_batch, replay_stream
 from barograph.sources.tables import live_table
 from barograph.streaming.bronze import start_bronze, write_messages
@@ -263,6 +263,32 @@ def csv_log_roundtrip(spark, sf_dir):
     )
 
 
+@query
+def csv_many_logs(spark, sf_dir):
+    """A log per walk, each from its own time on; all in one scan to messages; those parsed."""
+    folder = fresh_folder(spark, "csv-logs")
+    epoch = epoch_seconds(F.col("ts"))
+    timed = events(spark, sf_dir).select(F.col("user_id").cast("string").alias("walkId"),
+                                         epoch.alias("epoch"), "value")
+    timed.groupBy("walkId").agg(F.floor(F.min("epoch")).cast("double").alias("baseEpoch")).write.parquet(
+        f"{folder}/bases"
+    )
+    bases = spark.read.parquet(f"{folder}/bases")
+    logs = timed.join(bases, "walkId").select(
+        F.col("walkId").alias("walk"),
+        (F.col("epoch") - F.col("baseEpoch")).alias("Time (s)"),
+        F.col("value").alias("X (hPa)"),
+    )
+    # Brought together by walk: few files each, a walk's rows on one task here only.
+    logs.repartition("walk").write.option("header", True).partitionBy("walk").csv(f"{folder}/logs")
+    found = sensor_logs(spark, f"{folder}/logs", bases, walk=r"/walk=([^/]+)/")
+    keyed = to_envelopes(
+        found, USER, DEVICE, F.col("walkId"), LOG_SENSOR, F.col("baseEpoch")
+    )
+    parsed = parse_messages(as_bus_rows(keyed, TOPIC))
+    return parsed.select("messageKey", "walkId", "sensorType", "eventTime", "timeSeconds", "pressureHpa")
+
+
 # --- batch: filters and reports ----------------------------------------------------
 
 

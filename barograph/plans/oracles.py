@@ -181,6 +181,13 @@ SELECT '{LOG_WALK}' AS messageKey, '{USER}' AS userId, '{DEVICE}' AS deviceId,
        '{LOG_WALK}' AS walkId, '{LOG_SENSOR}' AS sensorType,
        date_trunc('second', ts) AS eventTime, {ELAPSED} AS timeSeconds,
        {six('value')} AS pressureHpa
+FROM events""",
+    "csv_many_logs": f"""
+SELECT CAST(user_id AS VARCHAR) AS messageKey, CAST(user_id AS VARCHAR) AS walkId,
+       '{LOG_SENSOR}' AS sensorType, date_trunc('second', ts) AS eventTime,
+       {six("epoch_us(ts) / 1000000.0::DOUBLE - floor(epoch_us(MIN(ts) OVER (PARTITION BY user_id)) / 1000000.0::DOUBLE)")}
+         AS timeSeconds,
+       {six('value')} AS pressureHpa
 FROM events""",
     "walk_sensor_year": f"""WITH {MEASURED}
 SELECT * EXCLUDE (ts) REPLACE ({six('pressureHpa')} AS pressureHpa) FROM measured

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barograph.schema import BRONZE, SENSOR_LOG
@@ -25,14 +26,50 @@ def sensor_log(
     job; with ``mode="PERMISSIVE"`` it is NULL, and ``corrupt_column`` keeps the
     raw line.
     """
+    kept = ["`Time (s)` AS timeSeconds", "`X (hPa)` AS pressureHpa"]
+    rows = _logged(spark, path, mode, corrupt_column)
+    return rows.selectExpr(*kept, *([corrupt_column] if corrupt_column else []))
+
+
+def sensor_logs(
+    spark: SparkSession,
+    path: str | list[str],
+    bases: DataFrame,
+    walk: str = r"([^/]+)\.csv$",
+    mode: str = "FAILFAST",
+) -> DataFrame:
+    """Logs of many walks in one scan: ``walkId, baseEpoch, timeSeconds, pressureHpa``.
+
+    Each file below ``path`` is one walk's, or part of it; ``walk`` is a pattern
+    whose first group finds the walk in the file's path. ``bases`` has columns
+    ``walkId`` and ``baseEpoch``, the time at which each walk's clock began; a
+    walk without a row keeps its rows, with a NULL base and so no event time.
+    Files of any size are read in splits, so a walk with most of the data has
+    many tasks. Spark sends the bases to all tasks while they are small, and
+    otherwise splits a walk that is too much for one.
+    """
+    rows = _logged(spark, path, mode, None, recursiveFileLookup=True)
+    # The path is URL-encoded; a plus sign in it is one.
+    place = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    named = rows.select(
+        F.regexp_extract(place, walk, 1).alias("walkId"),
+        F.col("`Time (s)`").alias("timeSeconds"),
+        F.col("`X (hPa)`").alias("pressureHpa"),
+    )
+    return named.join(bases.select("walkId", "baseEpoch"), "walkId", "left").select(
+        "walkId", "baseEpoch", "timeSeconds", "pressureHpa"
+    )
+
+
+def _logged(
+    spark: SparkSession, path: str | list[str], mode: str, corrupt_column: str | None, **more
+) -> DataFrame:
     layout = T.StructType(list(SENSOR_LOG.fields))
     options = {"header": True, "mode": mode, "encoding": "UTF-8", "enforceSchema": False}
-    kept = ["`Time (s)` AS timeSeconds", "`X (hPa)` AS pressureHpa"]
     if corrupt_column:
         layout.add(corrupt_column, T.StringType())
         options |= {"columnNameOfCorruptRecord": corrupt_column, "mode": "PERMISSIVE"}
-        kept.append(corrupt_column)
-    return spark.read.schema(layout).options(**options).csv(path).selectExpr(*kept)
+    return spark.read.schema(layout).options(**options, **more).csv(path)
 
 
 def bronze_table(spark: SparkSession, path: str) -> DataFrame:

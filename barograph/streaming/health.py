@@ -23,7 +23,7 @@ from pyspark.sql.streaming.listener import (
 )
 
 from barograph.schema import layout
-from barograph.workspace import file_system
+from barograph.workspace import write_text
 
 HEALTH = layout({
     "query_id": "string",
@@ -83,16 +83,8 @@ class HealthLog(StreamingQueryListener):
             "rows_per_second": progress.processedRowsPerSecond,
             "watermark": progress.eventTime.get("watermark"),
         }
-        files, path = file_system(
-            self.spark, f"{self.folder}/query_id={progress.id}/{progress.batchId}.json"
-        )
-        # Shown under its name when all of it is there.
-        staged = path.suffix(".tmp")
-        out = files.create(staged, True)
-        out.write(bytearray(json.dumps(row).encode()))
-        out.close()
-        files.delete(path, False)
-        files.rename(staged, path)
+        path = f"{self.folder}/query_id={progress.id}/{progress.batchId}.json"
+        write_text(self.spark, path, json.dumps(row))
 
     def onQueryIdle(self, event: QueryIdleEvent) -> None:
         pass
@@ -125,7 +117,7 @@ def health_table(spark: SparkSession, folder: str) -> DataFrame:
         field.name: "bigint" if field.name.endswith("_event") else field.dataType
         for field in HEALTH.fields if field.name != "query_id"
     } | {"query_id": "string"})
-    rows = spark.read.schema(stored).option("pathGlobFilter", "*.json").json(folder)
+    rows = spark.read.schema(stored).json(folder)
     return rows.select(*[
         F.timestamp_micros(name).alias(name) if name.endswith("_event") else F.col(name)
         for name in HEALTH.names

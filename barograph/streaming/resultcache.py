@@ -6,7 +6,7 @@ Layout under one root folder::
     changelog/batch_id=N/window_date=D/    rows changed by micro-batch N
     committed/N                            batch N is all there; readers see up to it
     base/upto=N/window_date=D/             newest rows of a date from batches 0..N
-    manifest/                              per compaction and date, the base's N
+    manifest/N                             of the compaction up to N: per date the base's N
 
 The checkpoint lives beside the changelog because its batch numbers are the
 versions: one without the other is of no use.
@@ -15,6 +15,7 @@ versions: one without the other is of no use.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,18 +28,23 @@ from barograph.operators.filters import in_year, on_day, on_sensor, on_walk
 from barograph.schema import CACHE, CACHE_KEY
 from barograph.settings import CacheFilter, Trigger
 from barograph.streaming.starting import require_checkpoint, spread_over_files, start_stream
-from barograph.workspace import LastDone, drop_folder, listed, path_exists
+from barograph.workspace import LastDone, drop_folder, listed, read_text, write_text
 
 DATE = T.StructField("window_date", T.DateType())
 STORED = T.StructType([*CACHE.fields, DATE])
 LOGGED = T.StructType([*STORED.fields, T.StructField("batch_id", T.LongType())])
-MANIFEST = T.StructType([DATE, T.StructField("upto", T.LongType())])
 BASE = T.StructType([*STORED.fields, T.StructField("upto", T.LongType())])
 
 # The date follows from the window start, so it may join the key; as a key column
 # it lets filters on it pass through the view to the folders.
 VIEW_KEY = (*CACHE_KEY, DATE.name)
 FILE_ORDER = (DATE.name, "sensor_type", "walk_id", "window_start", "device_id")
+# A read of one walk passes over the row groups whose filter does not know it, also
+# where they hold so many walks that no dictionary does; filters are as small as they can be.
+BLOOM = {
+    "parquet.bloom.filter.enabled#walk_id": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
 
 
 class ResultCache:
@@ -61,7 +67,7 @@ class ResultCache:
         if files_per_date:
             rows = spread_over_files(rows, [F.col(DATE.name)], CACHE_KEY, files_per_date)
         folder = f"{self.changelog}/batch_id={batch_id}"
-        rows.write.mode("overwrite").partitionBy(DATE.name).parquet(folder)
+        rows.write.mode("overwrite").options(**BLOOM).partitionBy(DATE.name).parquet(folder)
         self.done.mark(max(batch_id, self.done.last() or 0))
 
     def start(
@@ -99,12 +105,19 @@ class ResultCache:
         return self.done.last()
 
     def bases(self) -> dict[dt.date, int]:
-        """Per date the last batch that its newest base covers; as many entries as dates."""
-        if not path_exists(self.spark, self.manifest):
+        """Per date the last batch that its newest base covers; as many entries as dates.
+
+        The newest manifest tells it whole, so reading it takes no Spark job.
+        """
+        numbers = self._manifests()
+        if not numbers:
             return {}
-        rows = self.spark.read.schema(MANIFEST).json(self.manifest)
-        newest = rows.groupBy(DATE.name).agg(F.max("upto").alias("upto")).collect()
-        return {row[DATE.name]: row["upto"] for row in newest}
+        entries = json.loads(read_text(self.spark, f"{self.manifest}/{numbers[-1]}"))
+        return {dt.date.fromisoformat(date): upto for date, upto in entries.items()}
+
+    def _manifests(self) -> list[int]:
+        names = (path.rpartition("/")[2] for path in listed(self.spark, f"{self.manifest}/*"))
+        return sorted(int(name) for name in names if name.isdigit())
 
     def compacted_through(self) -> int | None:
         """The last batch that any base covers."""
@@ -168,7 +181,7 @@ class ResultCache:
         be asked for. Only dates with rows changed since their base are written.
         Files are cut by ranges of date, sensor, walk and time, so that a date
         with much of the data gets many files and a read of one walk opens few.
-        Readers take to the new bases when their manifest rows are there; until
+        Readers take to the new bases when their manifest is there; until
         then, and if this fails, the old ones stay in use.
         """
         last = self.committed()
@@ -187,11 +200,16 @@ class ResultCache:
             rows.repartitionByRange(*FILE_ORDER)
             .sortWithinPartitions(*FILE_ORDER)
             .write.mode("overwrite")
+            .options(**BLOOM)
             .partitionBy(DATE.name)
             .parquet(f"{self.base}/upto={through}")
         )
-        finished = self.spark.createDataFrame([(date, through) for date in changed], MANIFEST)
-        finished.coalesce(1).write.mode("append").json(self.manifest)
+        entries = {date.isoformat(): upto for date, upto in bases.items()}
+        entries |= {date.isoformat(): through for date in changed}
+        write_text(self.spark, f"{self.manifest}/{through}", json.dumps(entries))
+        # The one before stays for readers that have just found its name.
+        for number in self._manifests()[:-2]:
+            drop_folder(self.spark, f"{self.manifest}/{number}")
 
     def _changes(self, through: int) -> list[tuple[dt.date, int]]:
         """Per date the newest batch up to ``through`` that changed it, by folder names."""

@@ -70,6 +70,30 @@ def age_seconds(spark: SparkSession, path: str) -> float:
     return (now - files.getFileStatus(hadoop).getModificationTime()) / 1000
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, shown under its name only when all of it is there."""
+    files, hadoop = file_system(spark, path)
+    # Names that begin with an underscore are no data to Spark's readers.
+    staged = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        hadoop.getParent(), f"_{hadoop.getName()}-{uuid.uuid4().hex}"
+    )
+    out = files.create(staged, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(hadoop, False)
+    files.rename(staged, hadoop)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file of ``write_text``, read by the driver."""
+    files, hadoop = file_system(spark, path)
+    stream = files.open(hadoop)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 class LastDone:
     """The number of the last finished version of some output.
 
