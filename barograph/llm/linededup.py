@@ -38,7 +38,7 @@ LEAST = SHINGLE
 TOGETHER = 2_000
 
 #: Buckets of more lines look for pairs by rare shingles; smaller ones compare all.
-FEW = 12
+FEW = 64
 #: Bits of the filter that spares most unwanted lines the way to the join; fixed size.
 FILTER_BITS = 1 << 26
 
@@ -235,10 +235,28 @@ def _bodies(docs: DataFrame, wanted: DataFrame, text: str, least: int) -> DataFr
     return once.join(wanted, "line", "left_semi")
 
 
-def shingles(line: str) -> set[str]:
-    """The character shingles of a line; one shorter than a shingle is one."""
-    line = line.strip().ljust(SHINGLE, "\0")
-    return {line[k : k + SHINGLE] for k in range(len(line) - SHINGLE + 1)}
+def shingle_sets(lines: list[str]) -> list[set]:
+    """The character shingles of each line; a line shorter than a shingle is one.
+
+    Where the lines together have no more than 256 characters, each character
+    gets a byte of its own, so that a shingle is one 64-bit number and the sets
+    are exact. Others are sets of strings.
+    """
+    raw = [line.strip().ljust(SHINGLE, "\0") for line in lines]
+    codes = np.frombuffer("".join(raw).encode("utf-32-le", "surrogatepass"), "<u4")
+    if codes.max() > 255:
+        alphabet, codes = np.unique(codes, return_inverse=True)
+        if len(alphabet) > 256:
+            return [{x[k : k + SHINGLE] for k in range(len(x) - SHINGLE + 1)} for x in raw]
+    codes = codes.astype(np.uint8)
+    words = np.empty(len(codes) - SHINGLE + 1, "<u8")
+    for k in range(SHINGLE):
+        words[k::SHINGLE] = np.frombuffer(codes.data, "<u8", (len(codes) - k) // SHINGLE, k)
+    sets, begin = [], 0
+    for x in raw:
+        sets.append(set(words[begin : begin + len(x) - SHINGLE + 1].tolist()))
+        begin += len(x)
+    return sets
 
 
 def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
@@ -248,7 +266,7 @@ def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
     lines alike enough share one of their rarest shingles, of which each looks
     at as many as it can miss and one more; no other pair needs a comparison.
     """
-    sets = [shingles(line) for line in lines]
+    sets = shingle_sets(lines)
     root = list(range(len(lines)))
     members = {k: [k] for k in root}
 
@@ -257,6 +275,10 @@ def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
         for j in others:
             if root[j] == root[k]:
                 continue
+            # Sets of too unlike sizes share too little, whatever they hold.
+            few, many = sorted((len(own), len(sets[j])))
+            if few < least * many - 1e-9:
+                continue
             shared = len(own & sets[j])
             if shared >= least * (len(own) + len(sets[j]) - shared) - 1e-9:
                 low, high = sorted((root[j], root[k]))
@@ -382,16 +404,15 @@ def deduplicated(
     """
     if count in docs.columns:
         raise ValueError(f"the rows have a column {count} already")
+    # Names that the rows don't have, whatever theirs are.
+    free = "_" * (1 + max(map(len, docs.columns)))
     gone = removed_lines(docs, key, text, least).select(
-        F.col("doc_id").alias("_gone_id"),
-        F.col("text_hash").alias("_gone_hash"),
-        F.col("positions").alias("_gone"),
+        F.col("doc_id").alias(f"{free}id"),
+        F.col("text_hash").alias(f"{free}hash"),
+        F.col("positions").alias(f"{free}gone"),
     )
-    rows = docs.join(
-        gone,
-        docs[key].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs[text]) == gone["_gone_hash"]),
-        "left",
-    ).select(*[docs[name] for name in docs.columns], "_gone")
+    same = docs[key].eqNullSafe(gone[f"{free}id"]) & (F.xxhash64(docs[text]) == gone[f"{free}hash"])
+    rows = docs.join(gone, same, "left").drop(f"{free}id", f"{free}hash")
     place = docs.columns.index(text)
     schema = T.StructType(
         [*docs.schema.fields, *([T.StructField(count, T.LongType())] if count else [])]
@@ -400,7 +421,7 @@ def deduplicated(
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bodies, counts = [], []
-            for body, positions in zip(batch.column(place), batch["_gone"], strict=True):
+            for body, positions in zip(batch.column(place), batch.columns[-1], strict=True):
                 body, out = body.as_py(), set(positions.as_py() or ())
                 if out:
                     lines = enumerate(body.split("\n"))
