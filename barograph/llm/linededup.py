@@ -37,6 +37,8 @@ LEAST = SHINGLE
 #: Distinct lines of a bucket that meet in one task.
 TOGETHER = 2_000
 
+#: Links that a task hands on together.
+HANDED = 10_000
 #: Buckets of more lines look for pairs by rare shingles; smaller ones compare all.
 FEW = 64
 #: Bits of the filter that spares most unwanted lines the way to the join; fixed size.
@@ -336,13 +338,27 @@ def line_links(
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, lines, texts in _groups(batches):
+        left: list[np.ndarray] = []
+        right: list[np.ndarray] = []
+        waiting = 0
+
+        def handed() -> pa.RecordBatch:
+            none = np.zeros(0, np.int64)
+            sides = [pa.array(np.concatenate([none, *x])) for x in (left, right)]
+            return pa.RecordBatch.from_arrays(sides, ["a", "b"])
+
+        # Links of many buckets in one batch: most buckets have two lines.
+        for _, lines, texts in _groups(batches):
             root = matched(texts)
             moved = np.flatnonzero(root != np.arange(len(root)))
             own = np.array(lines, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own[moved]), pa.array(own[root[moved]])], ["a", "b"]
-            )
+            left.append(own[moved])
+            right.append(own[root[moved]])
+            waiting += len(moved)
+            if waiting >= HANDED:
+                yield handed()
+                left, right, waiting = [], [], 0
+        yield handed()
 
     return ordered.mapInArrow(verify, "a long, b long")
 
