@@ -21,7 +21,10 @@ class Permutation:
     def _round(self, tag: str, number: int, half: int, bits: int) -> int:
         size = (bits + 7) // 8
         text = f"{tag}|{number}|{half:x}".encode()
-        return int.from_bytes(hashlib.blake2b(text, key=self.key, digest_size=min(64, size)).digest())
+        if size <= 64:
+            return int.from_bytes(hashlib.blake2b(text, key=self.key, digest_size=size).digest())
+        # As wide as the half, however wide that is, so that every bit of it changes.
+        return int.from_bytes(hashlib.shake_256(self.key + text).digest(size))
 
     def _of(self, tag: str, value: int, size: int) -> int:
         """The image of ``value``: in the network's power of two, walked back below ``size``."""

@@ -28,7 +28,7 @@ EMAIL = re.compile(
 )
 SECRET = re.compile(
     r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_\-]?key|access[_\-]?key|private[_\-]?key)"
-    r"[\"']?\s*[:=]\s*[\"']?([A-Za-z0-9_/+\-]{16,})"
+    r"[\"']?\s*[:=]\s*[\"']?([A-Za-z0-9_/+\-]{16,}(?:\.[A-Za-z0-9_/+\-]{8,})*)"
 )
 IBAN = re.compile(
     r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
@@ -41,8 +41,9 @@ NUMBER = re.compile(
     r"|(?P<card>\d{13,19}|\d{4}(?P<c>[ \-])\d{4}(?P=c)\d{4}(?P=c)\d{4}(?:(?P=c)\d{1,3})?"
     r"|\d{4}(?P<d>[ \-])\d{6}(?P=d)\d{5})"
     r"|(?P<phone>\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){2,4}"
-    r"|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}(?P<e>[.\-])\d{3}(?P=e)\d{4})"
-    r")(?!\w|[.\-]\d)"
+    r"|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}(?P<e>[ .\-])\d{3}(?P=e)\d{4})"
+    # A time may follow a date, by a T or a blank.
+    r")(?!(?!T\d\d:)\w|[.\-]\d)"
 )
 FIRST_DAY, DAYS = dt.date(1900, 1, 1), 73_049  # to the end of 2099
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -124,14 +125,12 @@ class Pseudonyms:
             return None
         if not 0 <= number < DAYS:
             return None
-        tag, size = "date", DAYS
-        if swapped:  # stays one that reads as month and day alone
-            def valid(n: int) -> bool:
-                return (FIRST_DAY + dt.timedelta(n)).day > 12
-
-            number = self.permutation.within("date-md", number, size, valid)
-        else:
-            number = self.permutation.of(tag, number, size)
+        # Days over 12 among themselves, and the others: month and day, where written in that
+        # order, stay so, and a date has one pseudonym in all its forms.
+        over = day > 12
+        number = self.permutation.within(
+            "date", number, DAYS, lambda n: ((FIRST_DAY + dt.timedelta(n)).day > 12) == over
+        )
         when = FIRST_DAY + dt.timedelta(number)
         width = 2 if all(len(p) == 2 for p in parts if len(p) != 4) else 1
         month_text, day_text = f"{when.month:0{width}d}", f"{when.day:0{width}d}"

@@ -1,0 +1,125 @@
+"""Long and dotted secrets, dates in all forms, exact shingle sets, clashing names."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from barograph.llm import linededup, pii
+from barograph.llm.feistel import ROUNDS, Permutation
+from tests.llm.conftest import as_tuples
+
+
+def longest_run(a: str, b: str) -> int:
+    run = best = 0
+    for x, y in zip(a, b, strict=True):
+        run = run + 1 if x == y else 0
+        best = max(best, run)
+    return best
+
+
+@pytest.mark.parametrize("alphabet", ["0123456789abcdef", "abcXYZ0123456789_/+-"])
+@pytest.mark.parametrize("length", [16, 60, 129, 300, 500, 1000, 5000])
+def test_no_run_of_a_long_secret_stays(alphabet, length):
+    draw = random.Random(length)
+    for _ in range(3):
+        value = "a1" + "".join(draw.choices(alphabet, k=length - 2))
+        new = pii.Pseudonyms(b"key").secret(value)
+        signs = sum(c in "_/+-" for c in value)
+        same = sum(x == y for x, y in zip(value, new, strict=True))
+        # By chance one of ten or more; signs stay as they are.
+        assert same - signs <= 6 + (length - signs) * 0.2
+        assert longest_run("".join(c for c in value if c.isalnum()),
+                           "".join(c for c in new if c.isalnum())) <= 7
+
+
+def test_wide_permutations_turn_back():
+    own = Permutation(b"key")
+    for bits in (8, 512, 1024, 1026, 5000):
+        half = bits // 2
+        mask = (1 << half) - 1
+        for value in (0, 1, (1 << bits) - 1, random.Random(bits).getrandbits(bits)):
+            image = own.of("t", value, 1 << bits)
+            left, right = image >> half, image & mask
+            for number in reversed(range(ROUNDS)):
+                left, right = right ^ own._round("t", number, left, half) & mask, left
+            assert left << half | right == value
+
+
+def test_a_long_mailbox_changes_whole():
+    local = "x1" * 400
+    new, count = pii.Pseudonyms(b"key").text(f"to {local}@example.org now")
+    assert count == 1 and longest_run(new[3:803], local) <= 7
+
+
+def test_dates_phones_and_dotted_secrets():
+    names = pii.Pseudonyms(b"key")
+
+    def only(text):
+        new, count = names.text(text)
+        assert count == 1, text
+        return new
+
+    stamp = only("at 1990-05-07T12:30:00Z ok")
+    assert not stamp.startswith("at 1990-05-07") and stamp.endswith("T12:30:00Z ok")
+    assert only("call 415 555 2671 now") != "call 415 555 2671 now"
+    assert names.text("sizes 100 200 3000, 2024-01-01Tea") == ("sizes 100 200 3000, 2024-01-01Tea", 0)
+    token = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N"
+    new = only(f'token = "{token}"')[9:-1]
+    assert [len(x) for x in new.split(".")] == [len(x) for x in token.split(".")]
+    assert all(longest_run(a, b) <= 4 for a, b in zip(new.split("."), token.split(".")))
+
+
+def test_a_date_has_one_pseudonym_in_all_forms():
+    names = pii.Pseudonyms(b"key")
+    seen = set()
+    for n in range(0, 73_049, 97):
+        day = dt.date(1900, 1, 1) + dt.timedelta(n)
+        new = dt.date.fromisoformat(names.date(day.isoformat()))
+        seen.add(new)
+        if day.day > 12:
+            assert names.date(day.strftime("%m/%d/%Y")) == new.strftime("%m/%d/%Y")
+        assert names.date(day.strftime("%d.%m.%Y")) == new.strftime("%d.%m.%Y")
+    assert len(seen) == len(range(0, 73_049, 97))
+
+
+def test_shingle_sets_are_exact():
+    draw = random.Random(3)
+    wide = "".join(chr(0x4E00 + k) for k in range(400))
+    for alphabet in ("ab", "abcdé ", "漢字かな x", wide):
+        lines = ["".join(draw.choices(alphabet, k=draw.randint(1, 60))) for _ in range(30)] + ["ab", ""]
+        sets = linededup.shingle_sets(lines)
+        plain = []
+        for line in lines:
+            line = line.strip().ljust(8, "\0")
+            plain.append({line[k:k + 8] for k in range(len(line) - 7)})
+        assert [len(x) for x in sets] == [len(x) for x in plain]
+        for a, x in zip(sets, plain):
+            assert [len(a & b) for b in sets] == [len(x & y) for y in plain]
+
+
+def test_lines_match_alike_in_small_and_large_buckets(monkeypatch):
+    draw = random.Random(4)
+    words = ["".join(draw.choices("abcdefg", k=5)) for _ in range(40)]
+    for _ in range(30):
+        lines = []
+        for _ in range(draw.randint(2, 40)):
+            base = list(draw.choice(lines).split()) if lines and draw.random() < 0.7 else draw.choices(words, k=25)
+            base[draw.randrange(len(base))] = draw.choice(words)
+            lines.append(" ".join(base))
+        monkeypatch.setattr(linededup, "FEW", 64)
+        few = linededup.matched(lines).tolist()
+        monkeypatch.setattr(linededup, "FEW", 1)
+        assert linededup.matched(lines).tolist() == few
+
+
+def test_lines_of_a_table_with_internal_names(spark, docs):
+    names = {"_gone": "x", "_gone_id": 1, "_gone_hash": 2, "_t": 3, "positions": 4, "line": 5}
+    more = docs.select("*", *[F.lit(value).alias(name) for name, value in names.items()])
+    found = linededup.deduplicated(more, count="removed", least=1)
+    plain = linededup.deduplicated(docs, count="removed", least=1)
+    assert as_tuples(found.select(*plain.columns)) == as_tuples(plain)
+
