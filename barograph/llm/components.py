@@ -6,7 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barograph.llm.tables import checkpointed
+from barograph.llm.tables import written
+from barograph.workspace import drop_folder
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -14,14 +15,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round hangs a node's larger neighbours on its smallest one, then its
     smaller ones too, until all components are stars. Links stay on the
-    executors; the driver sees a count and a checksum per round. A node with
-    most of the links is a skewed join side, which adaptive execution splits.
+    executors; the driver sees a count and a checksum per round. A round's table
+    goes once the next one is written. A node with most of the links is a skewed
+    join side, which adaptive execution splits.
     """
 
     def directed(rows: DataFrame, x: str, y: str) -> DataFrame:
         return rows.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
 
-    edges = checkpointed(directed(links, a, b).filter("a <> b").distinct())
+    first = directed(links, a, b).filter("a <> b").distinct()
+    edges, folder = written(first, "components")
     seen = None
     while True:
         state = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
@@ -41,7 +44,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             F.col("b").alias("a"), F.col("m").alias("b")
         )
         hung = smallest.select("a", F.col("m").alias("b"))
-        edges = checkpointed(smaller.union(hung).distinct())
+        before = folder
+        edges, folder = written(smaller.union(hung).distinct(), "components")
+        drop_folder(links.sparkSession, before)
     roots = edges.select(F.col("b").alias("node")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         roots.select("node", F.col("node").alias("root"))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barograph.llm.tables import numbered, text_or_empty
+from barograph.llm.tables import numbered, stored, text_or_empty
 
 #: Steps of the hash draw: the upper 53 bits of a 64-bit hash.
 STEPS = float(2**53)
@@ -115,5 +115,5 @@ def sharded(
         shard_of(F.col(key), tree).alias("shard"),
         shard_of(F.col(key), grown).alias("grown_shard"),
     )
-    placed = numbered(rows, ["shard"], ["doc_id"], "slot")
+    placed = numbered(stored(rows, "shards"), ["shard"], ["doc_id"], "slot")
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")

@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from barograph.llm.components import Union, components
 from barograph.llm.tables import split_groups, stored
@@ -291,12 +292,23 @@ def one_of_each(
     """Of each component the text with the smallest id (null last), with all its columns.
 
     Another text under that id is judged by its own component; in the same one
-    it goes. Rows that repeat both id and text stay together.
+    it goes. Of rows that repeat both id and text one stays, whichever the hash
+    of the whole row puts first. An empty table gives no rows.
     """
     _, rooted = _rooted(docs, key, text, shingle, differences)
     kept = rooted.groupBy("root").agg(F.min("first").alias("first"))
-    kept = kept.select(
-        F.col("first.doc_id").alias("_kept_id"), F.col("first.text_hash").alias("_kept_hash")
-    )
-    same = docs[key].eqNullSafe(kept["_kept_id"])
-    return docs.join(kept, same & (F.xxhash64(docs[text]) == kept["_kept_hash"]), "left_semi")
+    # Names that the rows don't have; keys are never null, so both steps below share a shuffle.
+    free = "_" * (1 + max(map(len, docs.columns)))
+    own = [f"{free}none", f"{free}id", f"{free}hash"]
+
+    def keys(number: Column, digest: Column) -> list[Column]:
+        known = F.coalesce(number.cast("string"), F.lit(""))
+        return [x.alias(n) for x, n in zip((number.isNull(), known, digest), own, strict=True)]
+
+    kept = kept.select(*keys(F.col("first.doc_id"), F.col("first.text_hash")))
+    rows = docs.select("*", *keys(docs[key], F.xxhash64(docs[text])))
+    # Maps have no hash; rows that differ in nothing else are equal here.
+    hashed = [x.name for x in docs.schema if "map<" not in x.dataType.simpleString()]
+    turn = F.row_number().over(Window.partitionBy(*own).orderBy(F.xxhash64(*hashed)))
+    once = rows.withColumn(f"{free}turn", turn).filter(F.col(f"{free}turn") == 1)
+    return once.join(kept, own, "left_semi").select(*docs.columns)

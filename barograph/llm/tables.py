@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 import barograph
-from barograph.workspace import fresh_folder, shared_root
+from barograph.workspace import fresh_folder
 
 #: Bytes that separate words: blank, tab, line feed, vertical tab, form feed, return.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -40,10 +40,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(rows: DataFrame) -> DataFrame:
-    """Cut the lineage by a checkpoint in the shared folder; for small, repeated steps."""
-    shared_root(rows.sparkSession)
-    return rows.checkpoint()
+def written(rows: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write as Parquet to a new shared folder; the table read from there, and the folder.
+
+    The folder goes by ``drop_folder``, or else when the driver ends.
+    """
+    spark = rows.sparkSession
+    folder = fresh_folder(spark, label)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder), folder
 
 
 def stored(rows: DataFrame, label: str) -> DataFrame:
@@ -52,13 +57,7 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     Later steps read the columns they need, and none repeats the work if an
     executor is lost. The folder goes when the driver ends.
     """
-    spark = rows.sparkSession
-    folder = fresh_folder(spark, label)
-    rows.write.parquet(folder)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(rows.schema).parquet(folder)
+    return written(rows, label)[0]
 
 
 def task_count(spark: SparkSession) -> int:
@@ -70,12 +69,16 @@ def numbered(
 ) -> DataFrame:
     """Add ``name``: a number from 0 without gaps within each group.
 
-    A group may hold most of the rows: rows are numbered within salts of it, and
-    the salts' sizes, few rows, give the offsets. The order of ``order`` holds
-    within a salt only. Equal rows get different numbers.
+    ``rows`` is a table as ``stored`` gives it. A group may hold most of the
+    rows, and most of them may be equal: rows are dealt to salts by their own
+    place in the files and numbered there, and the salts' sizes, few rows, give
+    the offsets. The order of ``order`` holds within a salt only. Equal rows get
+    different numbers.
     """
     salts = salts or 4 * task_count(rows.sparkSession)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1)
+    place = F.xxhash64(part, "_metadata.row_index")
+    salted = rows.select("*", F.pmod(place, F.lit(salts)).alias("_salt"))
     keys = [*group, "_salt"]
     sizes = salted.groupBy(*keys).agg(F.count("*").alias("_size"))
     before = Window.partitionBy(*group).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)

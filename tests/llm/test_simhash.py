@@ -1,10 +1,13 @@
+import pathlib
 import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from barograph.llm import simhash
 from barograph.llm.components import components
+from barograph.workspace import shared_root
 
 from .conftest import TEXTS, as_tuples
 
@@ -87,7 +90,7 @@ def test_awkward_rows(docs, no_docs):
 def test_one_of_each(docs):
     kept = simhash.one_of_each(docs)
     assert kept.schema == docs.schema
-    assert sorted(row.doc_id or 0 for row in kept.collect()) == [0, 1, 3, 4, 7, 8, 8, 9, 10]
+    assert sorted(row.doc_id or 0 for row in kept.collect()) == [0, 1, 3, 4, 7, 8, 9, 10]
 
 
 def test_components_of_a_long_chain(spark):
@@ -107,6 +110,28 @@ def test_one_text_of_each_component_stays(spark, docs):
         (0, "of no id"), (1, words[0]), (2, words[1]), (4, words[2])]
 
 
+def test_one_of_repeated_rows_stays(spark):
+    words = [" ".join(f"w{k * n % 211}" for k in range(1, 60)) for n in (1, 2)]
+    rows = [(1, words[0], k % 3) for k in range(90)] + [(2, words[0], 0), (3, words[1], 0)]
+    rows += [(None, "of no id", k) for k in range(5)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, _kept_id int").repartition(5)
+    table = table.withColumn("tags", F.create_map(F.lit("a"), "_kept_id"))
+    kept = simhash.one_of_each(table)
+    assert kept.schema == table.schema
+    assert sorted(row.doc_id or 0 for row in kept.collect()) == [0, 1, 3]
+    # Repeated rows meet after each task has put its own down to one.
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in plan and "WindowGroupLimit" in plan
+
+
+def test_rounds_leave_no_tables(spark):
+    root = pathlib.Path(shared_root(spark).removeprefix("file:"))
+    before = set(root.glob("components-*"))
+    links = spark.createDataFrame([(k, k + 1) for k in range(100)], "a long, b long")
+    assert components(links).count() == 101
+    assert len(set(root.glob("components-*")) - before) == 1
+
+
 def test_shingle_and_differences_are_parameters(spark, docs):
     a = " ".join(f"w{k}" for k in range(100))
     b = a.replace("w50", "other")
