@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -13,7 +14,7 @@ from barograph.llm import hashtree, licenses, linededup, pii, queries, vptree
 from barograph.llm.components import components
 from barograph.llm.feistel import Permutation
 from barograph.llm.known_licenses import MIT
-from barograph.llm.tables import ship_code, stored
+from barograph.llm.tables import numbered, ship_code, stored
 
 from .conftest import TEXTS, as_tuples
 
@@ -34,6 +35,22 @@ def test_shards(docs, no_docs):
     assert hashtree.sharded(no_docs, tree, tree).collect() == []
 
 
+@pytest.mark.parametrize("name", ["slot", "number"])
+def test_numbers_of_a_group_of_equal_rows(spark, name):
+    rows = spark.range(0, 30_000, 1, 6).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("key"), F.lit(1).alias("part"))
+    held = stored(rows, "equal-rows")
+    found = numbered(held, ["part"], ["key"], name, salts=16)
+    assert found.columns == ["key", "part", name]
+    got = found.agg(F.min(name), F.max(name), F.countDistinct(name)).first()
+    assert tuple(got) == (0, 29_999, 30_000)
+    # The third of the rows without a key is dealt to all salts alike.
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1)
+    salt = F.pmod(F.xxhash64(part, "_metadata.row_index"), F.lit(16))
+    sizes = [row["count"] for row in held.groupBy(salt).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 30_000 / 16
+
+
 def test_weights_and_movement(spark):
     keys = spark.range(20_000)
     tree = hashtree.even_tree(16)
@@ -76,6 +93,39 @@ def test_licenses_and_oracle(spark, docs):
     assert licenses.license_scan(table.limit(0)).collect() == []
 
 
+def test_listed_digests_are_those_of_the_published_texts(spark):
+    folder = pathlib.Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0",
+             "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    rows = [(n, (folder / file).read_text()) for n, file in enumerate(names) if (folder / file).exists()]
+    if not rows:
+        pytest.skip("no licence texts on this machine")
+    found = licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    whole = {row.doc_id: row.license for row in found.collect() if row.scope == "text"}
+    assert whole == {n: list(names.values())[n] for n, _ in rows}
+
+
+def test_a_table_of_digests_is_sent_or_shuffled(spark, docs, monkeypatch):
+    texts = spark.createDataFrame(
+        [("A", TEXTS[0][1]), ("B", "short"), ("B", "SHORT!"), ("C", None), ("D", ""), ("E", "none")],
+        "license string, text string")
+    digests = licenses.text_digests(texts)
+    assert digests.count() == 4
+    expected = sorted([(1, "line", "A", 1), (1, "text", "A", 1), (2, "line", "A", 1),
+                       (2, "text", "A", 1), (8, "line", "B", 4)])
+    assert as_tuples(licenses.license_scan(docs, digests)) == expected
+    monkeypatch.setattr(licenses, "BROADCAST_DIGESTS", 1)
+    assert as_tuples(licenses.license_scan(docs, digests)) == expected
+    nothing = spark.createDataFrame([], "license string, digest string")
+    assert licenses.license_scan(docs, nothing).collect() == []
+
+
+def test_canonical_form_is_worked_out_once(docs):
+    digests = docs.select(docs.text.alias("license"), docs.text.alias("digest"))
+    plan = licenses.license_scan(docs, digests)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("all rights reserved") == 1 and plan.count("sha2(") == 1
+
+
 # --- pseudonyms --------------------------------------------------------------------
 
 
