@@ -39,7 +39,9 @@ TOGETHER = 2_000
 
 #: Links that a task hands on together.
 HANDED = 10_000
-#: Buckets of more lines look for pairs by rare shingles; smaller ones compare all.
+#: Shared shingles times lines up to which a bucket's pairs are counted by one product.
+CELLS = 1 << 22
+#: Of the others, buckets of more lines look for pairs by rare shingles; smaller ones compare all.
 FEW = 64
 #: Bits of the filter that spares most unwanted lines the way to the join; fixed size.
 FILTER_BITS = 1 << 26
@@ -237,23 +239,38 @@ def _bodies(docs: DataFrame, wanted: DataFrame, text: str, least: int) -> DataFr
     return once.join(wanted, "line", "left_semi")
 
 
-def shingle_sets(lines: list[str]) -> list[set]:
-    """The character shingles of each line; a line shorter than a shingle is one.
+def _padded(lines: list[str]) -> list[str]:
+    return [line.strip().ljust(SHINGLE, "\0") for line in lines]
+
+
+def _words(raw: list[str]) -> np.ndarray | None:
+    """The eight characters from each place of the joined lines on, as one number each.
 
     Where the lines together have no more than 256 characters, each character
-    gets a byte of its own, so that a shingle is one 64-bit number and the sets
-    are exact. Others are sets of strings.
+    gets a byte of its own, so that equal numbers are equal shingles. None for
+    others.
     """
-    raw = [line.strip().ljust(SHINGLE, "\0") for line in lines]
     codes = np.frombuffer("".join(raw).encode("utf-32-le", "surrogatepass"), "<u4")
     if codes.max() > 255:
         alphabet, codes = np.unique(codes, return_inverse=True)
         if len(alphabet) > 256:
-            return [{x[k : k + SHINGLE] for k in range(len(x) - SHINGLE + 1)} for x in raw]
+            return None
     codes = codes.astype(np.uint8)
     words = np.empty(len(codes) - SHINGLE + 1, "<u8")
     for k in range(SHINGLE):
         words[k::SHINGLE] = np.frombuffer(codes.data, "<u8", (len(codes) - k) // SHINGLE, k)
+    return words
+
+
+def shingle_sets(lines: list[str]) -> list[set]:
+    """The character shingles of each line; a line shorter than a shingle is one.
+
+    The sets are exact: of numbers where ``_words`` has them, else of strings.
+    """
+    raw = _padded(lines)
+    words = _words(raw)
+    if words is None:
+        return [{x[k : k + SHINGLE] for k in range(len(x) - SHINGLE + 1)} for x in raw]
     sets, begin = [], 0
     for x in raw:
         sets.append(set(words[begin : begin + len(x) - SHINGLE + 1].tolist()))
@@ -261,13 +278,55 @@ def shingle_sets(lines: list[str]) -> list[set]:
     return sets
 
 
+def _matched_at_once(lines: list[str], least: float) -> np.ndarray | None:
+    """``matched`` by a product of the lines' shingle indicators; None where it would be large.
+
+    A shingle that stands in one place only is shared by no pair: it counts in
+    its line's size and has no column.
+    """
+    raw = _padded(lines)
+    words = _words(raw)
+    if words is None:
+        return None
+    count = len(raw)
+    size = np.array([len(x) for x in raw])
+    line = np.repeat(np.arange(count), size)[: len(words)]
+    # A number that goes over the end of its line is no shingle.
+    inside = np.ones(len(words), bool)
+    ends = np.cumsum(size)[:-1]
+    for k in range(1, SHINGLE):
+        inside[ends - k] = False
+    line = line[inside]
+    _, kind, times = np.unique(words[inside], return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1
+    often = times[kind] > 1
+    if count * (column[-1] + 1) > CELLS or count * count > CELLS:
+        return None
+    held = np.zeros((count, column[-1] + 1), np.float32)
+    held[line[often], column[kind[often]]] = 1
+    # Counts are whole numbers that a float holds exactly.
+    sizes = held.sum(axis=1, dtype=np.float64) + np.bincount(line[~often], minlength=count)
+    shared = (held @ held.T).astype(np.float64)
+    alike = shared >= least * (sizes[:, None] + sizes - shared) - 1e-9
+    np.fill_diagonal(alike, True)
+    root = np.arange(count)
+    while True:
+        first = np.where(alike, root, count).min(axis=1)
+        if (first == root).all():
+            return root
+        root = first
+
+
 def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
     """For each line of a bucket the first one of its component, by exact Jaccard similarity.
 
-    In a large bucket the lines' shingles are ordered from rare to common. Two
+    Most buckets take all their pairs at once. In a large one the lines' shingles are ordered from rare to common. Two
     lines alike enough share one of their rarest shingles, of which each looks
     at as many as it can miss and one more; no other pair needs a comparison.
     """
+    # For two lines sets are quicker.
+    if len(lines) > 2 and (found := _matched_at_once(lines, least)) is not None:
+        return found
     sets = shingle_sets(lines)
     root = list(range(len(lines)))
     members = {k: [k] for k in root}

@@ -110,12 +110,31 @@ def test_lines_match_alike_in_small_and_large_buckets(monkeypatch):
             base = list(draw.choice(lines).split()) if lines and draw.random() < 0.7 else draw.choices(words, k=25)
             base[draw.randrange(len(base))] = draw.choice(words)
             lines.append(" ".join(base))
+        monkeypatch.setattr(linededup, "CELLS", 1 << 22)
+        at_once = linededup.matched(lines).tolist()
+        monkeypatch.setattr(linededup, "CELLS", 0)
         monkeypatch.setattr(linededup, "FEW", 64)
+        assert linededup.matched(lines).tolist() == at_once
         few = linededup.matched(lines).tolist()
         monkeypatch.setattr(linededup, "FEW", 1)
         assert linededup.matched(lines).tolist() == few
 
 
+@pytest.mark.parametrize("alphabet", ["ab", "abcdé ", "漢字かな x"])
+def test_all_pairs_at_once_are_those_of_sets(alphabet, monkeypatch):
+    draw = random.Random(5)
+    for _ in range(40):
+        lines = ["ab", "ab ", "x", "x", alphabet * 9, alphabet * 10]
+        for _ in range(draw.randint(0, 20)):
+            base = list(draw.choice(lines)) if draw.random() < 0.6 else draw.choices(alphabet, k=60)
+            base[draw.randrange(len(base))] = draw.choice(alphabet)
+            lines.append("".join(base) or "y")
+        monkeypatch.setattr(linededup, "CELLS", 1 << 22)
+        found = linededup.matched(lines).tolist()
+        monkeypatch.setattr(linededup, "CELLS", 0)
+        assert linededup.matched(lines).tolist() == found
+
+
 def test_lines_of_a_table_with_internal_names(spark, docs):
     names = {"_gone": "x", "_gone_id": 1, "_gone_hash": 2, "_t": 3, "positions": 4, "line": 5}
     more = docs.select("*", *[F.lit(value).alias(name) for name, value in names.items()])
