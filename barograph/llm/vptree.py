@@ -10,18 +10,18 @@ a half is left out once the gap exceeds best / factor, so that a larger factor
 prunes more, and factor one restores exact search.
 
 Equal vectors are one point with its smallest ids, so that a vector with most
-of the rows costs as much as any other.
+of the rows costs as much as any other. A shard's tree is grown where a block of
+queries meets it: that is little beside the block's search, and no tree is
+written, sent or kept.
 """
 
 from __future__ import annotations
 
-import pickle
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,14 +31,19 @@ from barograph.llm.tables import stored
 #: Bytes of vectors in a shard at most, and the least number of shards.
 SHARD_BYTES = 25_000_000
 SHARDS = 8
-#: Queries sent to a shard together, and searched together there.
-BLOCK = 4096
+#: Bytes of queries that meet a shard in one task: as many as of the shard's vectors, so that
+#: neither side is sent more than the other. And queries that go through a tree together.
+BLOCK_BYTES = SHARD_BYTES
 AT_ONCE = 512
 LEAF = 128
 #: Scores this near are told apart by their exact values.
 NEAR = 1e-9
 #: Rounding of a distance, in shares of the shard's largest norm: roots of differences near zero.
 ROUNDING = 1e-6
+#: What a search gives: a query's point and digest, an id found for it, their score.
+FOUND = pa.schema(
+    {"point": pa.int64(), "print": pa.int64(), "found": pa.int64(), "score": pa.float64()}
+)
 
 
 @dataclass
@@ -230,89 +235,61 @@ def nearest(
         "point", "print", "v", F.size("v").alias("size")
     )
     many = {row["size"]: row["n"] for row in _sizes(points)}
-    per = {size: max(1, SHARD_BYTES // (8 * size)) for size in many}
     # Shards and blocks of each vector length; lengths are few, the table is small.
-    plan = {n: max(SHARDS, -(-many[n] // per[n])) for n in many}
-    blocks = {row["size"]: -(-row["n"] // BLOCK) for row in _sizes(distinct)}
+    plan = {n: max(SHARDS, -(-many[n] // max(1, SHARD_BYTES // (8 * n)))) for n in many}
+    asked_of = {row["size"]: row["n"] for row in _sizes(distinct)}
+    blocks = {n: -(-asked_of[n] // max(1, BLOCK_BYTES // (8 * n))) for n in asked_of}
 
     def of(values: dict[int, int]) -> Column:
         return F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), F.col("size"))
 
+    def each(values: dict[int, int]) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), of(values).cast("long") - 1))
+
     if not blocks:
         return vectors.sparkSession.createDataFrame(
             [], "query_id long, rank int, vec_id long, score double"
         )
-    shard = F.pmod(F.xxhash64("v"), of(plan)).alias("shard")
-    trees = points.filter(F.col("size").isin(list(blocks))).select("size", shard, "v", "ids")
-
-    def plant(group: pd.DataFrame) -> pd.DataFrame:
-        size, number = int(group["size"].iloc[0]), int(group["shard"].iloc[0])
-        # Any order of rows gives the same tree.
-        group = group.iloc[np.argsort(group["ids"].str[0].to_numpy(), kind="stable")]
-        tree = build_tree(np.stack(group["v"].to_numpy()))
-        packed = pickle.dumps((tree, [x.tolist() for x in group["ids"]]))
-        return pd.DataFrame({"size": [size], "shard": [number], "tree": [packed]})
-
-    planted = stored(
-        trees.groupBy("size", "shard").applyInPandas(plant, "size int, shard long, tree binary"),
-        "trees",
-    )
-
-    def gather(group: pd.DataFrame) -> pd.DataFrame:
-        size, number = int(group["size"].iloc[0]), int(group["block"].iloc[0])
-        matrix = np.stack(group["v"].to_numpy()).astype("<f8").tobytes()
-        ids = group[["point", "print"]].to_numpy("<i8").tobytes()
-        return pd.DataFrame({"size": [size], "block": [number], "ids": [ids], "rows": [matrix]})
-
-    asked_in = distinct.select(
-        "size", F.pmod(F.xxhash64("print"), of(blocks)).alias("block"), "v", "point", "print"
+    digest = F.xxhash64("v").alias("print")
+    held = points.filter(F.col("size").isin(list(blocks))).select(
+        "size", F.pmod(digest, of(plan)).alias("shard"), each(blocks).alias("block"), "v", "ids", digest
     )
-    gathered = asked_in.groupBy("size", "block").applyInPandas(
-        gather, "size int, block long, ids binary, rows binary"
-    )
-    met = planted.withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("long"), of(blocks).cast("long") - 1))
-    ).join(
-        gathered.withColumn(
-            "shard", F.explode(F.sequence(F.lit(0).cast("long"), of(plan).cast("long") - 1))
-        ),
-        ["size", "shard", "block"],
+    sought = distinct.select(
+        "size",
+        each(plan).alias("shard"),
+        F.pmod(F.xxhash64("print"), of(blocks)).alias("block"),
+        *["v", "point", "print"],
     )
 
-    def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for size, raw, ids, rows in zip(*batch.columns, strict=True):
-                tree, members = pickle.loads(raw.as_py())
-                counts = np.array([len(x) for x in members])
-                flat, starts = np.concatenate(members), np.cumsum(counts) - counts
-                smallest_ids = np.array([x[0] for x in members])
-                repeated = len(np.unique(smallest_ids)) < len(members)
-                asked_ids = np.frombuffer(ids.as_py(), "<i8").reshape(-1, 2)
-                queries = np.frombuffer(rows.as_py(), "<f8").reshape(-1, size.as_py())
-                for at in range(0, len(queries), AT_ONCE):
-                    query, point, score = search(
-                        tree,
-                        queries[at : at + AT_ONCE],
-                        wanted,
-                        factor,
-                        smallest_ids if repeated else None,
-                    )
-                    wide = counts[point]
-                    step = np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)
-                    found = flat[np.repeat(starts[point], wide) + step]
-                    query, found, score = _top(
-                        np.repeat(query, wide), found, np.repeat(score, wide), wanted
-                    )
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            *map(pa.array, asked_ids[at + query].T.copy()),
-                            pa.array(found),
-                            pa.array(score),
-                        ],
-                        ["point", "print", "found", "score"],
-                    )
-
-    found = met.select("size", "tree", "ids", "rows").mapInArrow(
+    def seek(held: pa.Table, sought: pa.Table) -> pa.Table:
+        if not len(held) or not len(sought):
+            return FOUND.empty_table()
+        # Any order of rows gives the same tree.
+        members = _whole(held["ids"])
+        smallest_ids = _whole(pc.list_element(members, 0)).to_numpy()
+        by = np.lexsort((held["print"].to_numpy(), smallest_ids))
+        members, smallest_ids = members.take(pa.array(by)), smallest_ids[by]
+        tree = build_tree(_matrix(held["v"])[by])
+        flat, counts = members.flatten().to_numpy(), members.value_lengths().to_numpy()
+        starts = np.cumsum(counts) - counts
+        repeated = len(np.unique(smallest_ids)) < len(members)
+        asked_ids = [sought[x].to_numpy() for x in ("point", "print")]
+        queries, parts = _matrix(sought["v"]), []
+        for at in range(0, len(queries), AT_ONCE):
+            query, point, score = search(
+                tree, queries[at : at + AT_ONCE], wanted, factor, smallest_ids if repeated else None
+            )
+            wide = counts[point]
+            step = np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)
+            found = flat[np.repeat(starts[point], wide) + step]
+            query, found, score = _top(np.repeat(query, wide), found, np.repeat(score, wide), wanted)
+            own = [x[at + query] for x in asked_ids]
+            parts.append(pa.RecordBatch.from_arrays([*map(pa.array, (*own, found, score))], schema=FOUND))
+        return pa.Table.from_batches(parts, FOUND)
+
+    # Each pair of a shard and a block is one group: a task holds one of each at a time.
+    met = ["size", "shard", "block"]
+    found = held.groupBy(*met).cogroup(sought.groupBy(*met)).applyInArrow(
         seek, "point long, print long, found long, score double"
     )
     # The smallest id may be that of several vectors; with its digest each is told apart.
@@ -336,5 +313,15 @@ def nearest(
     )
 
 
+def _whole(column: pa.ChunkedArray | pa.Array) -> pa.Array:
+    """A column as one array."""
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
+def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as the rows of a matrix."""
+    return _whole(vectors).flatten().to_numpy().reshape(len(vectors), -1)
+
+
 def _sizes(rows: DataFrame) -> list:
     return rows.groupBy("size").agg(F.count("*").alias("n")).collect()

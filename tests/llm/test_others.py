@@ -274,6 +274,21 @@ def test_ids_with_several_vectors(spark):
     assert found == brute_ids(rows, 20, 5)
 
 
+def test_each_block_of_queries_meets_each_shard_in_a_task_of_their_own(spark, monkeypatch):
+    ship_code(spark)
+    monkeypatch.setattr(vptree, "SHARD_BYTES", 50 * 8 * 8)
+    monkeypatch.setattr(vptree, "BLOCK_BYTES", 7 * 8 * 8)
+    random = np.random.default_rng(4)
+    rows = [(n, random.normal(size=8).round(1).tolist()) for n in range(1, 900)]
+    rows += [(n, rows[0][1]) for n in range(1000, 1300)] + [(1400, [1.0]), (1401, [2.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = vptree.nearest(table, 10, 6)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "tree" not in plan
+    assert sorted(tuple(row)[:3] for row in found.collect()) == [
+        x[:3] for x in brute_nearest(rows, 10, 6)]
+
+
 # --- lines -------------------------------------------------------------------------
 
 
