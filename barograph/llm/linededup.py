@@ -18,7 +18,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,8 @@ CELLS = 1 << 22
 FEW = 64
 #: Bits of the filter that spares most unwanted lines the way to the join; fixed size.
 FILTER_BITS = 1 << 26
+#: Columns of a line's digest.
+DIGEST = "line long, more long"
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint32(2**32 - 1)
@@ -55,10 +57,22 @@ def considered(line: str, least: int = LEAST) -> bool:
     return len(line.strip()) >= least
 
 
-def line_key(line: str) -> int:
-    """A signed 64-bit digest of a line without the blanks around it."""
-    value = xxhash.xxh3_64_intdigest(line.strip().encode("utf-8", "surrogatepass"))
-    return value - (1 << 64) if value >> 63 else value
+def line_digest(line: str) -> bytes:
+    """The 128-bit digest of a line without the blanks around it."""
+    return xxhash.xxh3_128_digest(line.strip().encode("utf-8", "surrogatepass"))
+
+
+def line_keys(digests: bytes | bytearray) -> np.ndarray:
+    """Digests, one after the other, as rows of two signed 64-bit numbers: ``line`` and ``more``.
+
+    Both together stand for a line. Candidates are looked for by the first alone:
+    lines that share it are told apart by their texts.
+    """
+    return np.frombuffer(digests, "<i8").reshape(-1, 2)
+
+
+def _keys_of(lines: list[str]) -> np.ndarray:
+    return line_keys(b"".join(map(line_digest, lines)))
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -115,33 +129,33 @@ def band_keys(lines: list[str]) -> np.ndarray:
 
 
 def _exploded(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
-    """Occurrences of considered lines: doc_id, text_hash, position, line (digest)."""
+    """Occurrences of considered lines: doc_id, text_hash, position, line and more (digest)."""
     own = docs.select(
         F.col(key).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("_t")
     ).filter(F.col("_t").isNotNull())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of, position, line = [], [], []
+            of, position, digests = [], [], bytearray()
             for k, body in enumerate(batch["_t"]):
                 for at, x in enumerate(body.as_py().split("\n")):
                     if considered(x, least):
                         of.append(k)
                         position.append(at)
-                        line.append(line_key(x))
-            rows = pa.array(of, pa.int64())
+                        digests += line_digest(x)
+            rows, keys = pa.array(of, pa.int64()), line_keys(digests)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"].take(rows),
                     batch["text_hash"].take(rows),
                     pa.array(position, pa.int32()),
-                    pa.array(line, pa.int64()),
+                    *map(pa.array, keys.T.copy()),
                 ],
-                ["doc_id", "text_hash", "position", "line"],
+                ["doc_id", "text_hash", "position", "line", "more"],
             )
 
     kind = own.schema["doc_id"].dataType.simpleString()
-    return own.mapInArrow(cut, f"doc_id {kind}, text_hash long, position int, line long")
+    return own.mapInArrow(cut, f"doc_id {kind}, text_hash long, position int, {DIGEST}")
 
 
 def _portions(texts: pa.Array, least: int, most: int = 2_000_000) -> Iterator[list[str]]:
@@ -168,7 +182,7 @@ def _buckets(docs: DataFrame, text: str, least: int) -> DataFrame:
         for batch in batches:
             for lines in _portions(batch.column(0), least):
                 keys = band_keys(lines)
-                own = np.repeat(np.array([line_key(x) for x in lines], np.int64), BANDS)
+                own = np.repeat(_keys_of(lines)[:, 0], BANDS)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.ravel()), pa.array(own)], ["band", "line"]
                 )
@@ -218,24 +232,24 @@ def _filter_words(wanted: DataFrame) -> np.ndarray:
 
 
 def _bodies(docs: DataFrame, wanted: DataFrame, text: str, least: int) -> DataFrame:
-    """line and body of the wanted lines."""
+    """line, more and body of the lines whose first number is wanted."""
     bitmap = docs.sparkSession.sparkContext.broadcast(_filter_words(wanted))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lines in _portions(batch.column(0), least):
-                own = np.array([line_key(x) for x in lines], np.int64)
-                bit = own % FILTER_BITS
+                own = _keys_of(lines)
+                bit = own[:, 0] % FILTER_BITS
                 word = bitmap.value[bit >> 6] >> (bit & 63).astype(np.uint64)
                 hit = np.flatnonzero(word & np.uint64(1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[hit]), pa.array([lines[k] for k in hit], pa.string())],
-                    ["line", "body"],
+                    [*map(pa.array, own[hit].T.copy()), pa.array([lines[k] for k in hit], pa.string())],
+                    ["line", "more", "body"],
                 )
 
-    rows = docs.select(text).mapInArrow(cut, "line long, body string")
-    # One copy of each wanted line: equal digests have equal bodies.
-    once = rows.groupBy("line").agg(F.min("body").alias("body"))
+    rows = docs.select(text).mapInArrow(cut, f"{DIGEST}, body string")
+    # One copy of each wanted line: equal digests of 128 bits have equal bodies.
+    once = rows.groupBy("line", "more").agg(F.min("body").alias("body"))
     return once.join(wanted, "line", "left_semi")
 
 
@@ -320,9 +334,10 @@ def _matched_at_once(lines: list[str], least: float) -> np.ndarray | None:
 def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
     """For each line of a bucket the first one of its component, by exact Jaccard similarity.
 
-    Most buckets take all their pairs at once. In a large one the lines' shingles are ordered from rare to common. Two
-    lines alike enough share one of their rarest shingles, of which each looks
-    at as many as it can miss and one more; no other pair needs a comparison.
+    Most buckets take all their pairs at once. In a large one the lines'
+    shingles are ordered from rare to common. Two lines alike enough share one
+    of their rarest shingles, of which each looks at as many as it can miss and
+    one more; no other pair needs a comparison.
     """
     # For two lines sets are quicker.
     if len(lines) > 2 and (found := _matched_at_once(lines, least)) is not None:
@@ -376,7 +391,7 @@ def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
 def line_links(
     docs: DataFrame, text: str = "text", together: int = TOGETHER, least: int = LEAST
 ) -> DataFrame:
-    """Links (a, b) of digests that join all lines found alike."""
+    """Links (a, b) that join all lines found alike, each the ``node`` of a line."""
     dealt = stored(_shared_buckets(docs, text, least), "line-buckets")
     sizes = dealt.groupBy("band").agg(
         F.count("*").alias("size"),
@@ -391,9 +406,9 @@ def line_links(
     parts = split_groups(found.join(bodies, "line"), "line", "size", together)
     own = ["band", "part_a", "part_b"]
     ordered = (
-        parts.select("band", "part_a", "part_b", "line", "body")
+        parts.select("band", "part_a", "part_b", "line", "more", "body")
         .repartition(*own)
-        .sortWithinPartitions(*own, "line")
+        .sortWithinPartitions(*own, "line", "more")
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,15 +417,17 @@ def line_links(
         waiting = 0
 
         def handed() -> pa.RecordBatch:
-            none = np.zeros(0, np.int64)
-            sides = [pa.array(np.concatenate([none, *x])) for x in (left, right)]
-            return pa.RecordBatch.from_arrays(sides, ["a", "b"])
+            none = np.zeros((0, 2), np.int64)
+            sides = [np.concatenate([none, *x]).T.copy() for x in (left, right)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x) for side in sides for x in side], ["line", "more", "b_line", "b_more"]
+            )
 
         # Links of many buckets in one batch: most buckets have two lines.
         for _, lines, texts in _groups(batches):
             root = matched(texts)
             moved = np.flatnonzero(root != np.arange(len(root)))
-            own = np.array(lines, np.int64)
+            own = np.array(lines, np.int64).reshape(-1, 2)
             left.append(own[moved])
             right.append(own[root[moved]])
             waiting += len(moved)
@@ -419,19 +436,27 @@ def line_links(
                 left, right, waiting = [], [], 0
         yield handed()
 
-    return ordered.mapInArrow(verify, "a long, b long")
+    found = ordered.mapInArrow(verify, f"{DIGEST}, b_line long, b_more long")
+    return found.select(
+        node().alias("a"), F.struct(F.col("b_line").alias("line"), F.col("b_more").alias("more")).alias("b")
+    )
+
 
+def node() -> Column:
+    """A line's digest as one column."""
+    return F.struct("line", "more")
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[int], list[str]]]:
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple], list[str]]]:
     now, lines, texts = None, [], []
     for batch in batches:
         columns = [x.to_pylist() for x in batch.columns]
-        for band, a, b, line, body in zip(*columns, strict=True):
+        for band, a, b, line, more, body in zip(*columns, strict=True):
             if (band, a, b) != now:
                 if lines:
                     yield now, lines, texts
                 now, lines, texts = (band, a, b), [], []
-            lines.append(line)
+            lines.append((line, more))
             texts.append(body)
     if lines:
         yield now, lines, texts
@@ -445,16 +470,18 @@ def removed_lines(
         raise ValueError("blank lines always stay: least is one or more")
     occurrences = stored(_exploded(docs, key, text, least), "line-occurrences")
     place = F.struct("doc_id", "position", "text_hash")
-    lines = occurrences.groupBy("line").agg(F.count("*").alias("times"), F.min(place).alias("first"))
+    lines = occurrences.groupBy("line", "more").agg(
+        F.count("*").alias("times"), F.min(place).alias("first")
+    )
     found = components(line_links(docs, text, least=least))
-    rooted = lines.join(found, lines["line"] == found["node"], "left").select(
-        "line", "times", "first", F.coalesce("root", "line").alias("root")
+    rooted = lines.join(found, node() == found["node"], "left").select(
+        "line", "more", "times", "first", F.coalesce("root", node()).alias("root")
     )
     whole = rooted.groupBy("root").agg(F.sum("times").alias("times"), F.min("first").alias("keep"))
-    affected = rooted.select("line", "root").join(
+    affected = rooted.select("line", "more", "root").join(
         whole.filter(F.col("times") > 1).select("root", "keep"), "root"
     )
-    gone = occurrences.join(affected.select("line", "keep"), "line")
+    gone = occurrences.join(affected.select("line", "more", "keep"), ["line", "more"])
     gone = gone.filter(~place.eqNullSafe(F.col("keep")))
     return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("position").alias("positions"))
 
@@ -472,8 +499,8 @@ def deduplicated(
     The occurrence that stays is the one with the smallest id (null first), then
     position. Blank lines stay, and lines of fewer than ``least`` characters; the
     registered query and the pipeline leave none. Lines shorter than a shingle
-    are alike when they are equal. A document may be left with an empty text. ``count`` names a column to add: the lines removed.
-    Null texts stay null, empty ones empty. Rows with equal id and text count as
+    are alike when they are equal. A document may be left with an empty text.
+    ``count`` names a column to add: the lines removed. Null texts stay null, empty ones empty. Rows with equal id and text count as
     one document: what stays in one stays in each, what goes goes in each. An
     empty table gives no rows.
     """
