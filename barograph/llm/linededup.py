@@ -18,7 +18,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -391,7 +391,12 @@ def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
 def line_links(
     docs: DataFrame, text: str = "text", together: int = TOGETHER, least: int = LEAST
 ) -> DataFrame:
-    """Links (a, b) that join all lines found alike, each the ``node`` of a line."""
+    """Links (a, b) that join all lines found alike, by numbers of the lines."""
+    return _linked(docs, text, together, least)[0]
+
+
+def _linked(docs: DataFrame, text: str, together: int, least: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) between numbered lines, and these lines: node (number), line, more, body."""
     dealt = stored(_shared_buckets(docs, text, least), "line-buckets")
     sizes = dealt.groupBy("band").agg(
         F.count("*").alias("size"),
@@ -402,13 +407,17 @@ def line_links(
     shared = sizes.groupBy("size", "members", "sum").agg(F.min("band").alias("band"))
     found = stored(dealt.join(shared.select("band", "size"), "band"), "line-looks")
     wanted = found.select("line").distinct()
-    bodies = stored(_bodies(docs, wanted, text, least), "line-bodies")
+    # A number of one word for each distinct line: links of numbers aggregate without sorting.
+    bodies = stored(
+        _bodies(docs, wanted, text, least).withColumn("node", F.monotonically_increasing_id()),
+        "line-bodies",
+    )
     parts = split_groups(found.join(bodies, "line"), "line", "size", together)
     own = ["band", "part_a", "part_b"]
     ordered = (
-        parts.select("band", "part_a", "part_b", "line", "more", "body")
+        parts.select("band", "part_a", "part_b", "node", "body")
         .repartition(*own)
-        .sortWithinPartitions(*own, "line", "more")
+        .sortWithinPartitions(*own, "node")
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,17 +426,15 @@ def line_links(
         waiting = 0
 
         def handed() -> pa.RecordBatch:
-            none = np.zeros((0, 2), np.int64)
-            sides = [np.concatenate([none, *x]).T.copy() for x in (left, right)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(x) for side in sides for x in side], ["line", "more", "b_line", "b_more"]
-            )
+            none = np.zeros(0, np.int64)
+            sides = [pa.array(np.concatenate([none, *x])) for x in (left, right)]
+            return pa.RecordBatch.from_arrays(sides, ["a", "b"])
 
         # Links of many buckets in one batch: most buckets have two lines.
         for _, lines, texts in _groups(batches):
             root = matched(texts)
             moved = np.flatnonzero(root != np.arange(len(root)))
-            own = np.array(lines, np.int64).reshape(-1, 2)
+            own = np.array(lines, np.int64)
             left.append(own[moved])
             right.append(own[root[moved]])
             waiting += len(moved)
@@ -436,27 +443,19 @@ def line_links(
                 left, right, waiting = [], [], 0
         yield handed()
 
-    found = ordered.mapInArrow(verify, f"{DIGEST}, b_line long, b_more long")
-    return found.select(
-        node().alias("a"), F.struct(F.col("b_line").alias("line"), F.col("b_more").alias("more")).alias("b")
-    )
-
+    return ordered.mapInArrow(verify, "a long, b long"), bodies
 
-def node() -> Column:
-    """A line's digest as one column."""
-    return F.struct("line", "more")
 
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple], list[str]]]:
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[int], list[str]]]:
     now, lines, texts = None, [], []
     for batch in batches:
         columns = [x.to_pylist() for x in batch.columns]
-        for band, a, b, line, more, body in zip(*columns, strict=True):
+        for band, a, b, line, body in zip(*columns, strict=True):
             if (band, a, b) != now:
                 if lines:
                     yield now, lines, texts
                 now, lines, texts = (band, a, b), [], []
-            lines.append((line, more))
+            lines.append(line)
             texts.append(body)
     if lines:
         yield now, lines, texts
@@ -473,13 +472,17 @@ def removed_lines(
     lines = occurrences.groupBy("line", "more").agg(
         F.count("*").alias("times"), F.min(place).alias("first")
     )
-    found = components(line_links(docs, text, least=least))
-    rooted = lines.join(found, node() == found["node"], "left").select(
-        "line", "more", "times", "first", F.coalesce("root", node()).alias("root")
-    )
-    whole = rooted.groupBy("root").agg(F.sum("times").alias("times"), F.min("first").alias("keep"))
-    affected = rooted.select("line", "more", "root").join(
-        whole.filter(F.col("times") > 1).select("root", "keep"), "root"
+    links, bodies = _linked(docs, text, TOGETHER, least)
+    known = bodies.select("node", "line", "more")
+    root = known.toDF("root", "root_line", "root_more")
+    found = components(links).join(known, "node").join(root, "root").drop("node", "root")
+    # A line without links is the root of itself.
+    own = [F.coalesce(f"root_{x}", x).alias(f"root_{x}") for x in ("line", "more")]
+    rooted = lines.join(found, ["line", "more"], "left").select("line", "more", "times", "first", *own)
+    by_root = ["root_line", "root_more"]
+    whole = rooted.groupBy(*by_root).agg(F.sum("times").alias("times"), F.min("first").alias("keep"))
+    affected = rooted.select("line", "more", *by_root).join(
+        whole.filter(F.col("times") > 1).select(*by_root, "keep"), by_root
     )
     gone = occurrences.join(affected.select("line", "more", "keep"), ["line", "more"])
     gone = gone.filter(~place.eqNullSafe(F.col("keep")))
