@@ -41,7 +41,7 @@ from barograph.operators.textstats import (
 )
 from barograph.operators.windows import window_stats
 from barograph.schema import BRONZE, GROUP_KEYS, layout
-from barograph.session import pin_utc
+from barograph.session import pin_utc, task_count
 from barograph.settings import CacheFilter, Trigger, WindowSpec
 from barograph.sources.files import bronze_table, sensor_log, sensor_logs, text_lines
 from barograph.sources.messages import replay_batch, replay_stream
@@ -279,8 +279,10 @@ def csv_many_logs(spark, sf_dir):
         (F.col("epoch") - F.col("baseEpoch")).alias("Time (s)"),
         F.col("value").alias("X (hPa)"),
     )
-    # Brought together by walk: few files each, a walk's rows on one task here only.
-    logs.repartition("walk").write.option("header", True).partitionBy("walk").csv(f"{folder}/logs")
+    # Brought together by walk: few files each, a walk's rows on one task here only. Opening
+    # files is the work, not their few bytes, so tasks are not put together by size.
+    dealt = logs.repartition(task_count(spark), "walk")
+    dealt.write.option("header", True).partitionBy("walk").csv(f"{folder}/logs")
     found = sensor_logs(spark, f"{folder}/logs", bases, walk=r"/walk=([^/]+)/")
     keyed = to_envelopes(
         found, USER, DEVICE, F.col("walkId"), LOG_SENSOR, F.col("baseEpoch")

@@ -62,6 +62,11 @@ def scoped_conf(spark: SparkSession, **settings: str) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+def task_count(spark: SparkSession) -> int:
+    """Tasks that a shuffle starts from."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def health_check(spark: SparkSession) -> DataFrame:
     """One literal row, to see that the session can run a query."""
     return spark.sql("SELECT 1 AS ok")

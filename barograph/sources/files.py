@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barograph.schema import BRONZE, SENSOR_LOG
+from barograph.session import scoped_conf
+
+#: Tasks per core that list the folders of many logs.
+LISTING_TASKS = 4
 
 
 def text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -46,9 +50,14 @@ def sensor_logs(
     walk without a row keeps its rows, with a NULL base and so no event time.
     Files of any size are read in splits, so a walk with most of the data has
     many tasks. Spark sends the bases to all tasks while they are small, and
-    otherwise splits a walk that is too much for one.
+    otherwise splits a walk that is too much for one. A few tasks per core list
+    the folders, however many: Spark alone takes one per folder, up to 10,000.
     """
-    rows = _logged(spark, path, mode, None, recursiveFileLookup=True)
+    listing = LISTING_TASKS * spark.sparkContext.defaultParallelism
+    with scoped_conf(
+        spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=str(listing)
+    ):
+        rows = _logged(spark, path, mode, None, recursiveFileLookup=True)
     # The path is URL-encoded; a plus sign in it is one.
     place = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
     named = rows.select(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from conftest import START
 from pyspark.sql import functions as F
 from test_panes import executed
 
 from barograph.operators.envelopes import as_bus_rows, parse_messages, to_envelopes
+from barograph.plans.catalogue import csv_many_logs
 from barograph.schema import CACHE
 from barograph.settings import CacheFilter
 from barograph.sources.files import sensor_logs
@@ -121,3 +124,40 @@ def test_many_logs_in_one_scan(spark, tmp_path):
     parsed = parse_messages(as_bus_rows(keyed, "t"))
     assert parsed.filter("eventTime IS NULL").select("walkId").distinct().collect() == [("unknown",)]
     assert parsed.count() == sum(logs.values())
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    walks = 40 * spark.sparkContext.defaultParallelism
+    for n in range(walks):
+        (tmp_path / "logs" / f"walk={n}").mkdir(parents=True)
+        (tmp_path / "logs" / f"walk={n}" / "log.csv").write_text(f"Time (s),X (hPa)\n0.5,{n}\n")
+    bases = spark.createDataFrame([(str(n), float(n)) for n in range(walks)], "walkId string, baseEpoch double")
+    context = spark.sparkContext
+    context.setJobGroup("listing", "listing")
+    try:
+        rows = sensor_logs(spark, str(tmp_path / "logs"), bases, walk=r"/walk=([^/]+)/")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    tasks = [tracker.getStageInfo(s).numTasks for s in stages]
+    assert tasks and max(tasks) <= 4 * context.defaultParallelism
+    found = {tuple(row) for row in rows.collect()}
+    assert found == {(str(n), float(n), 0.5, float(n)) for n in range(walks)}
+
+
+def test_many_logs_are_written_by_all_tasks(spark, tmp_path):
+    walks = 24
+    spark.range(walks * 3).select(
+        F.timestamp_seconds(F.lit(START) + F.col("id")).cast("timestamp_ntz").alias("ts"),
+        F.pmod("id", F.lit(walks)).alias("user_id"),
+        F.col("id").cast("double").alias("value"),
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("csv-logs-*"))
+    found = csv_many_logs(spark, str(tmp_path))
+    assert found.count() == walks * 3
+    (own,) = set(shared.glob("csv-logs-*")) - before
+    files = list(own.glob("run/logs/walk=*/part-*.csv"))
+    # A log per walk, and more than one task has written them.
+    assert len(files) == walks and len({file.name[:10] for file in files}) > 1
