@@ -55,12 +55,14 @@ class ChunkMemory:
 
     def _ids(self, keys: list[Hashable]) -> list[bytes]:
         got = list(map(self.known.get, keys))
-        new = list(dict.fromkeys(key for key, ids in zip(keys, got, strict=True) if ids is None))
-        if not new:
+        holes = [k for k, ids in enumerate(got) if ids is None]
+        if not holes:
             return got
-        coded = self.encode_chunks([chunk_text(key) for key in new])
-        self.known.update(zip(new, coded, strict=True))
-        return [self.known[key] if ids is None else ids for key, ids in zip(keys, got, strict=True)]
+        new = list(dict.fromkeys(keys[k] for k in holes))
+        self.known.update(zip(new, self.encode_chunks(list(map(chunk_text, new))), strict=True))
+        for k in holes:
+            got[k] = self.known[keys[k]]
+        return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text. Repeated chunks are found by Arrow and looked up once per call."""
@@ -77,21 +79,20 @@ class ChunkMemory:
         split = pc.split_pattern(column.filter(pa.array(~double)), " ")
         begin = split.offsets.to_numpy()[:-1]
         chunks = split.flatten().dictionary_encode()
-        names = chunks.dictionary.to_pylist()
+        names = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
         # The first chunk of a text has no blank before it and is a name of its own.
         which = chunks.indices.to_numpy().astype(np.int64)
         firsts = [(texts[k].partition(" ")[0],) for k in plain]
         which[begin] = len(names) + np.arange(len(plain))
-        ids = self._ids([*names, *firsts])
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        pool = np.frombuffer(b"".join(ids), "<u4")
-        wide = size[which]
-        ends = np.cumsum(wide)
-        place = np.arange(ends[-1]) + np.repeat((np.cumsum(size) - size)[which] - ends + wide, wide)
-        found = pool[place]
-        cuts = [*(ends - wide)[begin].tolist(), int(ends[-1])]
+        ids = pa.array(self._ids([*names, *firsts]), pa.large_binary())
+        # All texts' ids stand one after the other in the memory of the taken column.
+        found = ids.take(pa.array(which))
+        _, places, body = found.buffers()
+        body = memoryview(body or b"")
+        ends = np.frombuffer(places, np.int64, len(found) + 1)
+        cuts = [*ends[begin].tolist(), int(ends[-1])]
         for at, k in enumerate(plain):
-            out[k] = found[cuts[at] : cuts[at + 1]].tobytes()
+            out[k] = bytes(body[cuts[at] : cuts[at + 1]])
         return out
 
 

@@ -7,6 +7,8 @@ from functools import lru_cache
 from itertools import compress
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from barograph.llm.chunks import CHUNKS_KEPT, ChunkMemory
 
@@ -51,7 +53,8 @@ def token_memory(path: str, kept: int = CHUNKS_KEPT, plain: bool = False) -> Chu
         coded: list[bytes] = []
         if runs:
             ids = np.concatenate(ids_of(runs))
-            ends = np.cumsum(np.fromiter(map(len, map(str.encode, together)), np.int64))
+            bodies = pa.array(together, pa.large_string())
+            ends = np.cumsum(pc.binary_length(bodies).to_numpy())
             cuts = ((np.searchsorted(np.cumsum(width[ids]), ends) + 1) * 4).tolist()
             raw = ids.tobytes()
             coded = [raw[x:y] for x, y in zip([0, *cuts], cuts)]

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import tracemalloc
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from barograph.llm import linededup, pii
+from barograph.llm.chunks import ChunkMemory
 from barograph.llm.feistel import ROUNDS, Permutation
 from tests.llm.conftest import as_tuples
 
@@ -142,3 +145,17 @@ def test_lines_of_a_table_with_internal_names(spark, docs):
     plain = linededup.deduplicated(docs, count="removed", least=1)
     assert as_tuples(found.select(*plain.columns)) == as_tuples(plain)
 
+
+
+def test_ids_of_texts_are_put_together_without_a_place_per_token():
+    memory = ChunkMemory(lambda chunks: [np.arange(50, dtype="<u4").tobytes() for _ in chunks])
+    text = " ".join(["word"] * 20_000)
+    memory.encode([text])
+    tracemalloc.start()
+    try:
+        (found,) = memory.encode([text])
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == np.arange(50, dtype="<u4").tobytes() * 20_000
+    assert most < 3 * len(found)
