@@ -45,6 +45,8 @@ CELLS = 1 << 22
 FEW = 64
 #: Bits of the filter that spares most unwanted lines the way to the join; fixed size.
 FILTER_BITS = 1 << 26
+#: Low bits of a band's sort key that the line's digest takes; the bucket has the others.
+LINE_BITS = 20
 #: Columns of a line's digest.
 DIGEST = "line long, more long"
 
@@ -112,15 +114,16 @@ def band_keys(lines: list[str]) -> np.ndarray:
     signature = signature.reshape(len(lines), bins)
     # An empty bin takes over another one's value, at a distance that its place decides, so
     # that lines with the same shingles fill it alike.
+    # Few lines need many turns, so only those still with empty bins take the next.
     sparse = np.flatnonzero((signature == _EMPTY).any(axis=1))
-    short = signature[sparse]
     for turn in range(1, 64):
-        hole = short == _EMPTY
-        if not hole.any():
+        if not len(sparse):
             break
+        short = signature[sparse]
         moved = short[:, (np.arange(bins) * 31 + turn * 17 + turn * turn) % bins]
-        short = np.where(hole & (moved != _EMPTY), moved ^ np.uint32(turn), short)
-    signature[sparse] = short
+        short = np.where((short == _EMPTY) & (moved != _EMPTY), moved ^ np.uint32(turn), short)
+        signature[sparse] = short
+        sparse = sparse[(short == _EMPTY).any(axis=1)]
     groups = signature.reshape(len(lines), BANDS, ROWS).astype(np.uint64)
     keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * _ODD, groups.shape[:2])
     for k in range(ROWS):
@@ -176,44 +179,54 @@ def _portions(texts: pa.Array, least: int, most: int = 2_000_000) -> Iterator[li
 
 
 def _buckets(docs: DataFrame, text: str, least: int) -> DataFrame:
-    """Rows (band key, line) of the considered lines."""
+    """Rows (sort key, line) of the considered lines.
+
+    The key is 44 bits of the band's and 20 of the line's, so that one number
+    sorts by both. Bands that share their bits share a bucket: that adds
+    candidates, which the exact comparison tells apart, and loses none.
+    """
+    low = np.int64((1 << LINE_BITS) - 1)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lines in _portions(batch.column(0), least):
-                keys = band_keys(lines)
                 own = np.repeat(_keys_of(lines)[:, 0], BANDS)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), pa.array(own)], ["band", "line"]
-                )
+                keys = band_keys(lines).ravel() & ~low | own & low
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own)], ["key", "line"])
 
-    return docs.select(text).mapInArrow(deal, "band long, line long")
+    return docs.select(text).mapInArrow(deal, "key long, line long")
 
 
 def _shared_buckets(docs: DataFrame, text: str, least: int) -> DataFrame:
-    """Rows (band, line) of the buckets with two lines or more, each once.
+    """Rows (band, line) of the buckets with two lines or more.
 
-    The rows pass in order of band and line, so no bucket is held.
+    The rows pass in order of their key, one number that Spark sorts by its
+    digits, so no bucket is held. Equal rows are given once; seldom twice, where
+    lines of a bucket share their part of the key and a batch ends among them.
     """
-    ordered = _buckets(docs, text, least).repartition("band").sortWithinPartitions("band", "line")
+    rows = _buckets(docs, text, least)
+    ordered = rows.repartition(F.shiftright("key", LINE_BITS)).sortWithinPartitions("key")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((0, 2), np.int64)  # the last row, and whether it was given out
         given = False
         for batch in batches:
-            rows = np.concatenate([held, np.stack([x.to_numpy() for x in batch.columns], axis=1)])
+            rows = np.stack([x.to_numpy() for x in batch.columns], axis=1)
+            if ((rows[1:, 0] == rows[:-1, 0]) & (rows[1:, 1] != rows[:-1, 1])).any():
+                rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+            rows = np.concatenate([held, rows])
             if not len(rows):
                 continue
             rows = rows[np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)]]
-            same = rows[1:, 0] == rows[:-1, 0]
+            band = rows[:, 0] >> LINE_BITS
+            same = band[1:] == band[:-1]
             out = np.r_[False, same] | np.r_[same, False]
             last = bool(out[-1]) or given and len(rows) == 1
             if given:
                 out[0] = False
             held, given = rows[-1:], last
-            out = rows[out]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[:, 0]), pa.array(out[:, 1])], ["band", "line"]
+                [pa.array(band[out]), pa.array(rows[out, 1])], ["band", "line"]
             )
 
     return ordered.mapInArrow(keep, "band long, line long")

@@ -147,6 +147,45 @@ def test_lines_of_a_table_with_internal_names(spark, docs):
 
 
 
+def test_full_signatures_take_no_more_turns(monkeypatch):
+    lines = [f"line {n} of some forty characters, {n * 7919}" for n in range(400)] + ["abcdefgh"]
+    alone = np.concatenate([linededup.band_keys([line]) for line in lines])
+    handled, where = [], np.where
+
+    def counted(*args):
+        handled.append(len(args[0]))
+        return where(*args)
+
+    monkeypatch.setattr(linededup.np, "where", counted)
+    assert (linededup.band_keys(lines) == alone).all()
+    # One line with a single shingle keeps no other line waiting.
+    assert sum(handled) < 12 * len(lines)
+
+
+def test_buckets_are_sorted_by_one_number(spark):
+    docs = spark.createDataFrame(
+        [(n, f"the same long line of text\nthe same long line of text {n % 3}\nother {n} {n * n}")
+         for n in range(60)], "doc_id long, text string")
+    found = linededup._shared_buckets(docs, "text", 1)
+    sorts = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines()
+             if "Sort [" in line]
+    # Spark sorts a single number by its digits, two columns by comparing rows.
+    assert len(sorts) == 1 and sorts[0].count("ASC") == 1
+    rows = [tuple(row) for row in found.collect()]
+    assert len(rows) == len(set(rows))
+    bands = {}
+    for band, line in rows:
+        bands.setdefault(band, set()).add(line)
+    assert bands and min(map(len, bands.values())) > 1
+    lines = sorted({x for row in docs.collect() for x in row.text.split("\n")})
+    numbers = linededup._keys_of(lines)[:, 0].tolist()
+    want = {}
+    for line, keys in zip(numbers, linededup.band_keys(lines).tolist(), strict=True):
+        for key in keys:
+            want.setdefault(key >> linededup.LINE_BITS, set()).add(line)
+    assert bands == {band: own for band, own in want.items() if len(own) > 1}
+
+
 def test_ids_of_texts_are_put_together_without_a_place_per_token():
     memory = ChunkMemory(lambda chunks: [np.arange(50, dtype="<u4").tobytes() for _ in chunks])
     text = " ".join(["word"] * 20_000)
