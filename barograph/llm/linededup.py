@@ -141,8 +141,8 @@ def _exploded(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
         for batch in batches:
             of, position, digests = [], [], bytearray()
             for k, body in enumerate(batch["_t"]):
-                for at, x in enumerate(body.as_py().split("\n")):
-                    if considered(x, least):
+                for at, x in enumerate(map(str.strip, body.as_py().split("\n"))):
+                    if len(x) >= least:
                         of.append(k)
                         position.append(at)
                         digests += line_digest(x)
@@ -344,6 +344,20 @@ def _matched_at_once(lines: list[str], least: float) -> np.ndarray | None:
         root = first
 
 
+def _pair_matched(lines: list[str], least: float) -> np.ndarray | None:
+    """``matched`` of two lines by their sorted shingles; None where these are no numbers."""
+    raw = _padded(lines)
+    words = _words(raw)
+    if words is None:
+        return None
+    begin = len(raw[0])
+    own = [words[: begin - SHINGLE + 1], words[begin:]]
+    few, many, both = (
+        1 + np.count_nonzero(x[1:] != x[:-1]) for x in map(np.sort, (*own, np.concatenate(own)))
+    )
+    return np.array([0, 0 if few + many - both >= least * both - 1e-9 else 1])
+
+
 def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
     """For each line of a bucket the first one of its component, by exact Jaccard similarity.
 
@@ -352,8 +366,8 @@ def matched(lines: list[str], least: float = SIMILARITY) -> np.ndarray:
     of their rarest shingles, of which each looks at as many as it can miss and
     one more; no other pair needs a comparison.
     """
-    # For two lines sets are quicker.
-    if len(lines) > 2 and (found := _matched_at_once(lines, least)) is not None:
+    at_once = _pair_matched if len(lines) == 2 else _matched_at_once
+    if len(lines) > 1 and (found := at_once(lines, least)) is not None:
         return found
     sets = shingle_sets(lines)
     root = list(range(len(lines)))
@@ -489,9 +503,10 @@ def removed_lines(
     known = bodies.select("node", "line", "more")
     root = known.toDF("root", "root_line", "root_more")
     found = components(links).join(known, "node").join(root, "root").drop("node", "root")
-    # A line without links is the root of itself.
+    # A line without links is the root of itself; if it stands once, nothing of it goes.
     own = [F.coalesce(f"root_{x}", x).alias(f"root_{x}") for x in ("line", "more")]
-    rooted = lines.join(found, ["line", "more"], "left").select("line", "more", "times", "first", *own)
+    rooted = lines.join(found, ["line", "more"], "left").filter("times > 1 OR root_line IS NOT NULL")
+    rooted = rooted.select("line", "more", "times", "first", *own)
     by_root = ["root_line", "root_more"]
     whole = rooted.groupBy(*by_root).agg(F.sum("times").alias("times"), F.min("first").alias("keep"))
     affected = rooted.select("line", "more", *by_root).join(

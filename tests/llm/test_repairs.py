@@ -198,3 +198,26 @@ def test_ids_of_texts_are_put_together_without_a_place_per_token():
         tracemalloc.stop()
     assert found == np.arange(50, dtype="<u4").tobytes() * 20_000
     assert most < 3 * len(found)
+
+
+def test_pairs_by_sorted_shingles_equal_sets(monkeypatch):
+    draw = random.Random(3)
+    same = other = 0
+    for n in range(400):
+        a = "".join(draw.choices("abcé🙂 " if n % 2 else "ab", k=draw.randrange(1, 200)))
+        at = draw.randrange(len(a))
+        b = a[:at] + "x" * draw.randrange(8) + a[at + draw.randrange(4) :]
+        one, two = linededup.shingle_sets([a, b])
+        alike = len(one & two) >= 0.8 * len(one | two) - 1e-9
+        same, other = same + alike, other + (not alike)
+        monkeypatch.setattr(linededup, "shingle_sets", None)
+        assert linededup.matched([a, b]).tolist() == [0, 0 if alike else 1]
+        monkeypatch.undo()
+    assert min(same, other) > 50
+
+
+def test_lone_lines_are_not_dealt_by_root(spark):
+    docs = spark.createDataFrame([(1, "a line alone\nx\nx"), (2, "x\nanother line")], "doc_id long, text string")
+    gone = linededup.removed_lines(docs, least=1)
+    assert "> 1) OR isnotnull" in gone._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.doc_id, *sorted(r.positions)) for r in gone.collect()} == {(1, 2), (2, 0)}
